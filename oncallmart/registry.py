@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncallmart import schema as S
+from oncallmart.functions import calendar as C
 from oncallmart.functions import tickets as X
+from oncallmart.operators import analytics as A
+from oncallmart.operators import calendar_tables as K
+from oncallmart.operators import evaluation as E
+from oncallmart.operators import ordered as O
+from oncallmart.operators import prep as P
+from oncallmart.operators import quality as Q
+from oncallmart.operators import series as R
 from oncallmart.operators import silver as SV
 from oncallmart.operators import star
 from oncallmart.plans import marts
@@ -180,3 +188,587 @@ def status_join_unique(spark, folder):
         .groupBy("status", "codigo_fechamento", "entrou_kpi")
         .agg(F.sum("tickets").alias("tickets"), F.sum("incidents").alias("incidents"))
     )
+
+
+# --- Calendars --------------------------------------------------------------------
+
+
+@query
+def date_parts(spark, folder):
+    at = F.col("Aberto")
+    return tickets(spark, folder).select(
+        "Numero",
+        F.hour(at).alias("hora"), C.day_of_week(at).alias("dow"), F.weekofyear(at).alias("semana"),
+        F.month(at).alias("mes"), F.quarter(at).alias("trimestre"), F.col("Ano_Mes").alias("ano_mes"),
+        C.shift(at).alias("turno"), C.off_hours(at).alias("fora_horario"),
+        C.weekend(at).alias("fim_de_semana"), C.weekday_name(at).alias("nome_dia"),
+        C.month_name_padded(at).alias("nome_mes"),
+    )
+
+
+@query
+def holidays(spark, folder):
+    return K.holidays(K.years_of(fixtures.bronze(spark, folder), "Aberto"))
+
+
+@query
+def day_type(spark, folder):
+    silver = tickets(spark, folder)
+    table = K.holidays(K.years_of(silver, "Aberto"))
+    return K.with_day_kind(silver.select("Numero", "Data_Abertura"), "Data_Abertura", table)
+
+
+@query
+def day_type_impact(spark, folder):
+    silver = tickets(spark, folder)
+    return A.day_kind_impact(silver, K.holidays(K.years_of(silver, "Aberto")))
+
+
+@query
+def calendar_padded(spark, folder):
+    return K.padded_calendar(fixtures.bronze(spark, folder), "Aberto")
+
+
+@query
+def date_rollup(spark, folder):
+    facts = star.fact(tickets(spark, folder))
+    return K.drill_down(
+        facts, "aberto_at", ["target_risco_sla", "score_risco_operacional", "duracao_segundos"]
+    )
+
+
+@query
+def role_date_join(spark, folder):
+    facts = star.fact(tickets(spark, folder))
+    return K.by_date_role(
+        facts, {"aberto": "aberto_at", "resolvido": "resolvido_at", "encerrado": "encerrado_at"}
+    )
+
+
+@query
+def next_seven_days(spark, folder):
+    daily = marts.forecast_mart(base(spark, folder))
+    ahead = K.next_days(daily)
+    return ahead.withColumn("taxa_violacao", F.round("taxa_violacao", 6))
+
+
+# --- Volume, seasonality, bottlenecks, goals ---------------------------------------
+
+
+@query
+def daily_total_vs_real(spark, folder):
+    return A.total_and_real_volume(tickets(spark, folder))
+
+
+@query
+def group_rate_top10(spark, folder):
+    return A.group_violation_rate(SV.real_work(tickets(spark, folder)))
+
+
+@query
+def monthly_trend(spark, folder):
+    return A.monthly_trend(SV.real_work(tickets(spark, folder)))
+
+
+@query
+def volume_weekday(spark, folder):
+    return A.volume_by_weekday(tickets(spark, folder))
+
+
+@query
+def volume_hour(spark, folder):
+    return A.volume_by_hour(SV.real_work(tickets(spark, folder)))
+
+
+@query
+def value_share(spark, folder):
+    unresolved = fixtures.bronze(spark, folder).where(F.col("Resolvido").isNull())
+    return A.value_shares(unresolved, ["Status", "Aberto_por", "Prioridade"])
+
+
+@query
+def target_share(spark, folder):
+    return A.share_of_total(marts.sla_mart(base(spark, folder)), "target_risco_sla")
+
+
+@query
+def top_categories(spark, folder):
+    return A.top_values(base(spark, folder), "subcategoria", 15)
+
+
+@query
+def preview(spark, folder):
+    chosen = tickets(spark, folder).select("Numero", "Prioridade", "Aberto", "Status")
+    return chosen.orderBy("Aberto", "Numero").limit(10)
+
+
+@query
+def longest_per_group(spark, folder):
+    chosen = base(spark, folder).where(F.col("grupo_designado").isNotNull()).select(
+        "grupo_designado", "incident_id", "duracao_segundos", "prioridade_num"
+    )
+    return A.best_row(chosen, "grupo_designado", "duracao_segundos", "incident_id")
+
+
+@query
+def completeness(spark, folder):
+    return A.completeness(fixtures.bronze(spark, folder))
+
+
+NULLABLE = [
+    "Produto", "Grupo_designado", "Resolvido", "Codigo_de_fechamento", "Incidente_Pai",
+    "KPI_Violado",
+]
+
+
+@query
+def nullity_corr(spark, folder):
+    return A.nullity_correlations(fixtures.bronze(spark, folder), NULLABLE)
+
+
+CAUSE_NUMBERS = [
+    "prioridade_num", "hora_abertura", "dia_semana_num", "fora_horario_comercial",
+    "abriu_fim_de_semana", "mes_abertura", "trimestre", "possui_pai",
+]
+
+
+@query
+def numeric_corr(spark, folder):
+    return A.correlations(marts.cluster_mart(base(spark, folder)), CAUSE_NUMBERS)
+
+
+@query
+def duration_summary(spark, folder):
+    work = base(spark, folder)
+    cut = O.quantiles(
+        work, ["duracao_horas", "horas_ate_resolucao"], {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    )
+    ends = O.melt(work, ["duracao_horas", "horas_ate_resolucao"]).groupBy("column").agg(
+        F.min("value").alias("min"), F.max("value").alias("max"),
+        F.round(F.avg("value"), 6).alias("mean"), F.count("*").alias("n"),
+    )
+    return cut.join(ends, "column").select(
+        "column", "n", "min", "max", "mean",
+        *[F.round(p, 6).alias(p) for p in ("p25", "p50", "p75")],
+    )
+
+
+@query
+def series_summary(spark, folder):
+    daily = marts.forecast_mart(base(spark, folder))
+    return daily.agg(
+        F.min("data_abertura").alias("primeira_data"), F.max("data_abertura").alias("ultima_data"),
+        F.count_distinct("data_abertura").alias("dias"),
+        F.sum("total_chamados").alias("chamados"), F.sum("total_violacoes_sla").alias("violacoes"),
+    )
+
+
+@query
+def ticket_summary(spark, folder):
+    return A.summary(tickets(spark, folder), "Numero", "Aberto")
+
+
+@query
+def load_profile(spark, folder):
+    return Q.load_profile(tickets(spark, folder))
+
+
+@query
+def filtered_counts(spark, folder):
+    return A.filtered_counts(tickets(spark, folder))
+
+
+@query
+def cardinality(spark, folder):
+    return A.cardinality(
+        marts.cluster_mart(base(spark, folder)),
+        ["grupo_designado", "categoria", "subcategoria", "produto", "turno_abertura"],
+    )
+
+
+@query
+def resolution_rate(spark, folder):
+    return A.group_rate(labelled(spark, folder), "cluster_label", "excedeu_tempo_esperado")
+
+
+@query
+def grid_pivot(spark, folder):
+    shifts = ["Manha", "Tarde", "Noite", "Madrugada"]
+    return A.pivot_max(
+        base(spark, folder), "prioridade_num", "turno_abertura", "duracao_horas", shifts
+    )
+
+
+@query
+def goal_tracking(spark, folder):
+    return A.goal_tracking(tickets(spark, folder))
+
+
+@query
+def parent_children(spark, folder):
+    return A.parent_children(tickets(spark, folder))
+
+
+@query
+def histogram(spark, folder):
+    return A.histogram(base(spark, folder), "duracao_segundos", 30)
+
+
+@query
+def histogram_by_class(spark, folder):
+    return A.histogram(
+        base(spark, folder), "duracao_segundos", 50, ["excedeu_tempo_esperado"]
+    )
+
+
+@query
+def boxplot_stats(spark, folder):
+    return E.box_plot(labelled(spark, folder), "horas_ate_resolucao", "cluster_label")
+
+
+@query
+def drift_psi(spark, folder):
+    work = base(spark, folder)
+    edge = F.lit(fixtures.MIN_DATE).cast("date")
+    marked = work.withColumn("late", F.col("data_abertura") >= edge)
+    parts = [
+        A.psi(marked, feature, "late")
+        for feature in ("score_risco_operacional", "hora_abertura", "grupo_designado")
+    ]
+    return Q.union(parts)
+
+
+# --- Compliance ------------------------------------------------------------------------
+
+
+@query
+def compliance_audit(spark, folder):
+    return A.audit(tickets(spark, folder)).groupBy("resultado").agg(
+        F.count("*").alias("tickets")
+    )
+
+
+@query
+def audit_labels(spark, folder):
+    return A.audit(tickets(spark, folder)).select("Numero", "resultado")
+
+
+@query
+def weekend_crossing(spark, folder):
+    return A.weekend_crossing(A.audit(tickets(spark, folder)))
+
+
+@query
+def business_hours(spark, folder):
+    return A.clock_comparison(A.audit(tickets(spark, folder)))
+
+
+@query
+def business_days(spark, folder):
+    days = C.business_days(F.to_date("Aberto"), F.to_date("Encerrado"))
+    return tickets(spark, folder).select("Numero", days.cast("bigint").alias("dias_uteis"))
+
+
+# --- Data quality -------------------------------------------------------------------------
+
+
+@query
+def quality_unique(spark, folder):
+    silver = tickets(spark, folder)
+    return Q.star_unique(star.fact(silver), star.dimensions(silver))
+
+
+@query
+def quality_not_null(spark, folder):
+    silver = tickets(spark, folder)
+    return Q.silver_not_null(silver).unionByName(
+        Q.star_not_null(star.fact(silver), star.dimensions(silver))
+    )
+
+
+@query
+def quality_models(spark, folder):
+    work = base(spark, folder)
+    return Q.model_tests(
+        work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
+    )
+
+
+@query
+def quality_accepted(spark, folder):
+    labels = fixtures.table(spark, folder, "labels")
+    return Q.row_rules(
+        "labels", labels, [Q.accepted("quality", [0, 1]), Q.accepted("toxic", [0, 1])]
+    ).unionByName(
+        Q.row_rules(
+            "bronze", fixtures.bronze(spark, folder),
+            [Q.accepted("Status", ["Encerrado", "Resolvido"]), Q.accepted("KPI_Violado", ["NAO"])],
+        )
+    )
+
+
+@query
+def quality_orphans(spark, folder):
+    silver = tickets(spark, folder)
+    return Q.star_references(star.fact(silver), star.dimensions(silver))
+
+
+@query
+def quality_ranges(spark, folder):
+    return Q.silver_ranges(tickets(spark, folder))
+
+
+@query
+def quality_job_ranges(spark, folder):
+    return Q.silver_ranges(SV.silver(fixtures.bronze(spark, folder), "job"))
+
+
+@query
+def table_counts_union(spark, folder):
+    work = base(spark, folder)
+    return Q.table_counts(
+        {
+            "ml_base_features": work,
+            "ml_sla_classification_dataset": marts.sla_mart(work),
+            "ml_cluster_dataset": marts.cluster_mart(work),
+            "ml_forecast_dataset": marts.forecast_mart(work),
+        }
+    )
+
+
+@query
+def scalar_checks(spark, folder):
+    work = base(spark, folder)
+    return Q.key_checks(
+        work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
+    )
+
+
+@query
+def class_balance(spark, folder):
+    return P.class_balance(tickets(spark, folder), "Target_Risco_SLA")
+
+
+@query
+def complete_rows(spark, folder):
+    chosen = fixtures.bronze(spark, folder).select("Numero", "Resolvido", "KPI_Violado")
+    return chosen.na.drop(subset=["Resolvido", "KPI_Violado"])
+
+
+# --- Series ------------------------------------------------------------------------------
+
+
+@query
+def team_daily(spark, folder):
+    return A.team_daily(base(spark, folder))
+
+
+@query
+def lags_rolling(spark, folder):
+    return R.lags(R.fill_days(A.team_daily(base(spark, folder))))
+
+
+@query
+def holdout_split(spark, folder):
+    return R.with_holdout(R.long_enough(A.team_daily(base(spark, folder)))).select(
+        "team", "ds", "y", "is_test"
+    )
+
+
+def global_daily(spark, folder):
+    daily = marts.forecast_mart(base(spark, folder))
+    return daily.select(
+        F.lit("all").alias("team"), F.col("data_abertura").alias("ds"),
+        F.col("total_chamados").alias("y"),
+    )
+
+
+@query
+def backtest_folds(spark, folder):
+    teams = R.long_enough(A.team_daily(base(spark, folder))).select("team", "ds", "y")
+    return R.fold_sizes(teams.unionByName(global_daily(spark, folder)))
+
+
+@query
+def seasonal_naive(spark, folder):
+    teams = R.long_enough(A.team_daily(base(spark, folder))).select("team", "ds", "y")
+    return R.naive_forecasts(R.with_holdout(teams))
+
+
+@query
+def forecast_errors(spark, folder):
+    teams = R.long_enough(A.team_daily(base(spark, folder))).select("team", "ds", "y")
+    made = R.naive_forecasts(R.with_holdout(teams))
+    return R.error_metrics(made, "y", "weekday_mean", ["team"])
+
+
+@query
+def horizon_errors(spark, folder):
+    filled = R.fill_days(global_daily(spark, folder))
+    return R.horizon_metrics(R.naive_backtest(filled))
+
+
+@query
+def mean_impute(spark, folder):
+    daily = marts.forecast_mart(base(spark, folder)).select(
+        "data_abertura",
+        # Days on which every ticket is low priority have no rate to report.
+        F.when(F.col("total_criticos") > 0, F.col("pct_violacao_sla")).alias("taxa"),
+    )
+    return R.mean_filled(daily, "taxa").withColumn("taxa", F.round("taxa", 6))
+
+
+# --- Feature preparation --------------------------------------------------------------------
+
+
+@query
+def iqr_vote(spark, folder):
+    voted = P.iqr_votes(marts.cluster_mart(base(spark, folder)))
+    return voted.select("incident_id", "outlier_votes", "is_outlier")
+
+
+@query
+def clean_plus_outliers(spark, folder):
+    voted = P.iqr_votes(marts.cluster_mart(base(spark, folder)), share=0.15)
+    clean, outliers = P.split_outliers(voted)
+    both = clean.withColumn("origem", F.lit("clean")).unionByName(
+        outliers.withColumn("origem", F.lit("outlier"))
+    )
+    return both.groupBy("origem").agg(F.count("*").alias("tickets"))
+
+
+@query
+def cyclic_enc(spark, folder):
+    chosen = base(spark, folder).select("incident_id", *S.CYCLES)
+    made = P.cyclic(chosen)
+    return made.select(
+        "incident_id", *[F.round(c, 9).alias(c) for c in made.columns if c != "incident_id"]
+    )
+
+
+@query
+def freq_enc(spark, folder):
+    chosen = base(spark, folder).select("incident_id", *S.FREQUENCY_COLUMNS)
+    return P.frequency_encode(chosen, {c: P.frequencies(chosen, c) for c in S.FREQUENCY_COLUMNS})
+
+
+@query
+def onehot_levels(spark, folder):
+    return P.one_hot_levels(base(spark, folder), ["categoria", "turno_abertura", "subcategoria"])
+
+
+@query
+def standardise(spark, folder):
+    chosen = base(spark, folder).select("incident_id", *CAUSE_NUMBERS)
+    made = P.standardise(chosen, CAUSE_NUMBERS)
+    return made.select("incident_id", *[F.round(c, 6).alias(c) for c in CAUSE_NUMBERS])
+
+
+@query
+def minmax(spark, folder):
+    chosen = P.split_of(base(spark, folder).select("incident_id", "duracao_segundos", "hora_abertura"))
+    train = chosen.withColumn("is_train", ~F.col("is_test"))
+    return P.min_max(train, ["duracao_segundos", "hora_abertura"], "is_train").select(
+        "incident_id", "duracao_segundos", "hora_abertura"
+    )
+
+
+@query
+def numeric_fill(spark, folder):
+    silver = tickets(spark, folder)
+    hours = X.hours_between(F.col("Aberto"), F.col("Resolvido")).alias("horas")
+    return P.zero_filled(silver.select("Numero", hours), ["horas"])
+
+
+@query
+def hash_split(spark, folder):
+    return P.split_of(base(spark, folder).select("incident_id"))
+
+
+@query
+def stratified_split(spark, folder):
+    chosen = base(spark, folder).select("incident_id", "excedeu_tempo_esperado")
+    return P.exact_stratified_split(chosen, "excedeu_tempo_esperado")
+
+
+@query
+def class_weights(spark, folder):
+    return P.class_weights(base(spark, folder), "excedeu_tempo_esperado")
+
+
+@query
+def zscore_flags(spark, folder):
+    return P.sigma_flags(base(spark, folder), "duracao_horas", "incident_id")
+
+
+# --- Evaluation on a score that follows from the data ----------------------------------------
+
+
+def scored(spark, folder):
+    """A risk score from the composite score and the time of day, and the label."""
+    at = F.col("aberto_at")
+    seconds = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    score = (F.col("score_risco_operacional") * 86400 + seconds.cast("int")) / F.lit(777600.0)
+    return base(spark, folder).select(
+        "incident_id", "grupo_designado", F.col("excedeu_tempo_esperado").alias("label"),
+        score.alias("score"),
+    )
+
+
+@query
+def pr_curve(spark, folder):
+    return E.pr_curve(scored(spark, folder), "label", "score")
+
+
+@query
+def pr_threshold(spark, folder):
+    return E.best_threshold(E.pr_curve(scored(spark, folder), "label", "score"))
+
+
+@query
+def roc_curve(spark, folder):
+    return E.roc_curve(scored(spark, folder), "label", "score")
+
+
+@query
+def roc_auc(spark, folder):
+    return E.auc(scored(spark, folder), "label", "score")
+
+
+@query
+def roc_auc_by_group(spark, folder):
+    return E.auc(scored(spark, folder), "label", "score", ["grupo_designado"])
+
+
+@query
+def confusion(spark, folder):
+    flagged = scored(spark, folder).withColumn("flagged", (F.col("score") > 0.5).cast("int"))
+    return E.confusion(flagged, "label", "flagged")
+
+
+@query
+def alerts(spark, folder):
+    return scored(spark, folder).where(F.col("score") > 0.8)
+
+
+def labelled(spark, folder):
+    """Tickets with a label A..D that follows from their priority."""
+    letters = F.array(*[F.lit(v) for v in S.CLUSTER_LABELS.values()])
+    return marts.cluster_mart(base(spark, folder)).withColumn(
+        "cluster_label", F.element_at(letters, F.col("prioridade_num") % 4 + 1)
+    )
+
+
+@query
+def cluster_profile(spark, folder):
+    return E.cluster_profile(labelled(spark, folder), "cluster_label", S.EFFECT_COLUMNS)
+
+
+@query
+def cluster_stats(spark, folder):
+    return E.cluster_stats(labelled(spark, folder), "cluster_label", S.EFFECT_COLUMNS)
+
+
+@query
+def cluster_balance(spark, folder):
+    return E.cluster_balance(labelled(spark, folder), "cluster_label")

@@ -1,7 +1,7 @@
 """DuckDB statements that state each result independently of the Spark code."""
 
-from oracles import tables
+from oracles import analysis, tables
 
 
 def statements() -> dict[str, str]:
-    return {**tables.QUERIES}
+    return {**tables.QUERIES, **analysis.QUERIES}
