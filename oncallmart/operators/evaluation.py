@@ -42,11 +42,9 @@ def by_score(frame: DataFrame, label: str, score: str, by: list[str] = ()) -> Da
 def pr_curve(frame: DataFrame, label: str, score: str) -> DataFrame:
     """Precision, recall and F1 when every score at or above the threshold is flagged."""
     placed = by_score(frame, label, score)
-    totals = frame.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    placed = placed.withColumn("_t", totals.select(F.struct("p", "n").alias("t")).scalar())
-    tp = F.col("_t.p") - F.col("pos_before")
-    fp = F.col("_t.n") - F.col("neg_before")
-    precision, recall = tp / (tp + fp), tp / F.nullif(F.col("_t.p"), F.lit(0))
+    tp = F.col("pos_total") - F.col("pos_before")
+    fp = F.col("neg_total") - F.col("neg_before")
+    precision, recall = tp / (tp + fp), tp / F.nullif(F.col("pos_total"), F.lit(0))
     f1 = F.lit(2.0) * (precision * recall) / (precision + recall + F.lit(TINY))
     return placed.select(
         F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
@@ -62,17 +60,13 @@ def best_threshold(curve: DataFrame) -> DataFrame:
 
 
 def roc_curve(frame: DataFrame, label: str, score: str) -> DataFrame:
-    curve = pr_curve(frame, label, score)
-    totals = frame.agg(
-        F.struct(
-            F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")
-        )
-    ).scalar()
-    placed = curve.withColumn("_t", totals)
+    placed = by_score(frame, label, score)
+    tp = F.col("pos_total") - F.col("pos_before")
+    fp = F.col("neg_total") - F.col("neg_before")
     return placed.select(
-        "threshold",
-        (F.col("fp") / F.nullif(F.col("_t.n"), F.lit(0))).alias("fpr"),
-        (F.col("tp") / F.nullif(F.col("_t.p"), F.lit(0))).alias("tpr"),
+        F.col("score").alias("threshold"),
+        (fp / F.nullif(F.col("neg_total"), F.lit(0))).alias("fpr"),
+        (tp / F.nullif(F.col("pos_total"), F.lit(0))).alias("tpr"),
     )
 
 

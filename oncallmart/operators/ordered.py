@@ -10,7 +10,8 @@ BUCKETS = 200
 
 def running_sums(counts: DataFrame, order: str, sums: list[str], by: list[str] = (),
                  buckets: int = BUCKETS) -> DataFrame:
-    """Add `<c>_before`, the sum of c over the rows with a smaller order value.
+    """Add `<c>_before`, the sum of c over the rows with a smaller order value, and
+    `<c>_total`, its sum over the group.
 
     `counts` must hold one row per (by, order). Each group's distinct values are
     cut into about equal buckets at approximate percentiles; bucket totals (at
@@ -19,15 +20,17 @@ def running_sums(counts: DataFrame, order: str, sums: list[str], by: list[str] =
     work: any cuts give the same result.
     """
     by = list(by)
-    cuts = counts.groupBy(*by).agg(
-        F.percentile_approx(
-            order, [i / buckets for i in range(1, buckets)], 20 * buckets
-        ).alias("_cuts")
+    steps = [i / buckets for i in range(1, buckets)]
+    # Every reader of `counts` takes all its columns, so its shuffle is reused.
+    stats = counts.groupBy(*by).agg(
+        F.percentile_approx(order, steps, 20 * buckets).alias("_cuts"),
+        *[F.sum(c).alias(f"{c}_total") for c in sums],
     )
     if by:
-        placed = null_safe_join(counts, cuts, by)
+        placed = null_safe_join(counts, stats, by)
     else:
-        placed = counts.withColumn("_cuts", cuts.scalar())
+        row = stats.select(F.struct(*stats.columns)).scalar()
+        placed = counts.withColumn("_row", row).select(*counts.columns, "_row.*")
     at = F.col(order)
     bucket = F.size(F.filter("_cuts", lambda cut: cut < at))
     placed = placed.withColumn("_bucket", bucket).drop("_cuts")
@@ -45,6 +48,7 @@ def running_sums(counts: DataFrame, order: str, sums: list[str], by: list[str] =
     )
     return null_safe_join(placed, offsets, [*by, "_bucket"]).select(
         *counts.columns,
+        *[f"{c}_total" for c in sums],
         *[
             (F.col(f"_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"{c}_before")
             for c in sums
@@ -75,10 +79,8 @@ def quantiles(frame: DataFrame, columns: list[str], points: dict[str, float],
     counts = melt(frame, columns, by).groupBy(*by, "column", "value").agg(
         F.count("*").alias("n")
     )
-    placed = running_sums(counts, "value", ["n"], [*by, "column"])
-    total = counts.groupBy(*by, "column").agg(F.sum("n").alias("_total"))
     keys = [*by, "column"]
-    placed = null_safe_join(placed, total, keys)
+    placed = running_sums(counts, "value", ["n"], keys)
 
     def holds(index: Column) -> Column:
         before = F.col("n_before")
@@ -86,7 +88,7 @@ def quantiles(frame: DataFrame, columns: list[str], points: dict[str, float],
 
     picks = []
     for name, p in points.items():
-        position = F.lit(p) * (F.col("_total") - 1)
+        position = F.lit(p) * (F.col("n_total") - 1)
         low, high = F.floor(position), F.ceil(position)
         picks += [
             F.max(F.when(holds(low), F.col("value"))).alias(f"_{name}_low"),

@@ -16,25 +16,26 @@ IQR_COLUMNS = [
 ]
 
 
-def iqr_votes(frame: DataFrame, columns: list[str] = IQR_COLUMNS, share: float = 0.5) -> DataFrame:
-    """Count the columns in which a row lies beyond 1.5 IQR; mark it above the share.
-
-    A missing value is not an outlier, and the empty placeholders do not vote.
-    """
+def iqr_fences(frame: DataFrame, columns: list[str] = IQR_COLUMNS) -> dict[str, tuple]:
+    """Fit: the limits 1.5 IQR beyond the quartiles, two numbers per column."""
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    fences = ordered.quantiles(frame, columns, {"q1": 0.25, "q3": 0.75}).select(
+    fitted = ordered.quantiles(frame, columns, {"q1": 0.25, "q3": 0.75}).select(
         "column", (F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi")
     )
-    placed = frame.withColumn("_f", ordered.as_one_row(fences, columns, ["lo", "hi"]))
+    return {row["column"]: (row["lo"], row["hi"]) for row in fitted.collect()}
+
+
+def iqr_votes(frame: DataFrame, fences: dict[str, tuple], share: float = 0.5) -> DataFrame:
+    """Count the columns in which a row lies outside its fence; mark it above the share.
+
+    A missing value is not an outlier, and the empty placeholders do not vote.
+    """
     votes = F.lit(0)
-    for column in columns:
-        value = F.col(column).cast("double")
-        inside = value.between(F.col(f"_f.{column}_lo"), F.col(f"_f.{column}_hi"))
+    for column, (low, high) in sorted(fences.items()):
+        inside = F.col(column).cast("double").between(low, high)
         votes = votes + F.when(~inside, 1).otherwise(0)
-    return (
-        placed.withColumn("outlier_votes", votes)
-        .withColumn("is_outlier", F.col("outlier_votes") > len(columns) * share)
-        .drop("_f")
+    return frame.withColumn("outlier_votes", votes).withColumn(
+        "is_outlier", F.col("outlier_votes") > len(fences) * share
     )
 
 

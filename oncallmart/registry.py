@@ -623,13 +623,15 @@ def mean_impute(spark, folder):
 
 @query
 def iqr_vote(spark, folder):
-    voted = P.iqr_votes(marts.cluster_mart(base(spark, folder)))
+    mart = marts.cluster_mart(base(spark, folder))
+    voted = P.iqr_votes(mart, P.iqr_fences(mart))
     return voted.select("incident_id", "outlier_votes", "is_outlier")
 
 
 @query
 def clean_plus_outliers(spark, folder):
-    voted = P.iqr_votes(marts.cluster_mart(base(spark, folder)), share=0.15)
+    mart = marts.cluster_mart(base(spark, folder))
+    voted = P.iqr_votes(mart, P.iqr_fences(mart), share=0.15)
     clean, outliers = P.split_outliers(voted)
     both = clean.withColumn("origem", F.lit("clean")).unionByName(
         outliers.withColumn("origem", F.lit("outlier"))
