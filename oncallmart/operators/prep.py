@@ -151,28 +151,48 @@ def split_of(frame: DataFrame, identifier: str = "incident_id", test: int = 20,
     return frame.withColumn("is_test", N.hash_percent(F.col(identifier), seed) < test)
 
 
-def exact_stratified_split(frame: DataFrame, label: str, identifier: str = "incident_id",
-                           test: float = 0.2, seed: int = 42) -> DataFrame:
-    """The same split with the exact share of each class as test rows.
+def _places(frame: DataFrame, label: str, identifier: str, seed: int) -> DataFrame:
+    """Place of each row in the hash order of its class, and the size of the class.
 
-    Rows are ordered by a hash within each class. The order is kept per hash
-    prefix, so the largest class is ranked by many tasks and not by one.
+    The order is kept per hash prefix, so the largest class is ranked by many
+    tasks and not by one.
     """
-    rank = N.hash_rank(F.col(identifier), seed)
-    marked = frame.withColumn("_rank", rank).withColumn("_prefix", F.substring("_rank", 1, 4))
+    marked = frame.withColumn("_rank", N.hash_rank(F.col(identifier), seed)).withColumn(
+        "_prefix", F.substring("_rank", 1, 4)
+    )
     sizes = marked.groupBy(label, "_prefix").agg(F.count("*").alias("_n"))
     classes = Window.partitionBy(label)
     earlier = classes.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         label, "_prefix",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.round(F.sum("_n").over(classes) * test).cast("bigint").alias("_quota"),
+        F.sum("_n").over(classes).alias("_size"),
     )
     inside = Window.partitionBy(label, "_prefix").orderBy("_rank", identifier)
+    placed = joins.null_safe_join(marked, offsets, [label, "_prefix"])
+    return placed.withColumn("_place", F.col("_before") + F.row_number().over(inside)).drop(
+        "_rank", "_prefix", "_before"
+    )
+
+
+def exact_stratified_split(frame: DataFrame, label: str, identifier: str = "incident_id",
+                           test: float = 0.2, seed: int = 42) -> DataFrame:
+    """Mark the exact share of each class as test rows."""
+    quota = F.round(F.col("_size") * test)
+    return (
+        _places(frame, label, identifier, seed)
+        .withColumn("is_test", F.col("_place") <= quota)
+        .drop("_place", "_size")
+    )
+
+
+def stratified_folds(frame: DataFrame, label: str, folds: int = 5,
+                     identifier: str = "incident_id", seed: int = 42) -> DataFrame:
+    """Deal the rows of each class out to the folds in turn."""
     return (
-        joins.null_safe_join(marked, offsets, [label, "_prefix"])
-        .withColumn("is_test", F.col("_before") + F.row_number().over(inside) <= F.col("_quota"))
-        .drop("_rank", "_prefix", "_before", "_quota")
+        _places(frame, label, identifier, seed)
+        .withColumn("fold", ((F.col("_place") - 1) % folds).cast("int"))
+        .drop("_place", "_size")
     )
 
 

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from oncallmart import schema as S
 from oncallmart.functions import calendar as C
 from oncallmart.functions import tickets as X
+from oncallmart.models import anomalies as AN
+from oncallmart.models import clusters as CL
+from oncallmart.models import forecast as FC
+from oncallmart.models import records as REC
+from oncallmart.models import risk as RK
 from oncallmart.operators import analytics as A
 from oncallmart.operators import calendar_tables as K
 from oncallmart.operators import evaluation as E
@@ -18,6 +23,7 @@ from oncallmart.operators import series as R
 from oncallmart.operators import silver as SV
 from oncallmart.operators import star
 from oncallmart.plans import marts
+from oncallmart.session import settle
 from oncallmart.sources import bronze as B
 from oncallmart.sources import fixtures
 
@@ -774,3 +780,87 @@ def cluster_stats(spark, folder):
 @query
 def cluster_balance(spark, folder):
     return E.cluster_balance(labelled(spark, folder), "cluster_label")
+
+
+# --- Models ------------------------------------------------------------------------------------
+
+
+@query
+def metrics_skeleton(spark, folder):
+    return REC.metrics_skeleton(tickets(spark, folder))
+
+
+@query
+def forecast_global(spark, folder):
+    return FC.forecast_global(marts.forecast_mart(base(spark, folder)))
+
+
+@query
+def forecast_holdout(spark, folder):
+    return FC.evaluate_global(marts.forecast_mart(base(spark, folder)))
+
+
+@query
+def forecast_team(spark, folder):
+    return FC.group_errors(FC.holdout_by_group(A.team_daily(base(spark, folder))))
+
+
+@query
+def forecast_rolling_origin(spark, folder):
+    return R.horizon_metrics(FC.rolling_origin(global_daily(spark, folder), yearly=3))
+
+
+@query
+def fct_previsoes(spark, folder):
+    daily = base(spark, folder).groupBy("prioridade_num", F.col("data_abertura").alias("ds")).agg(
+        F.count("*").alias("y")
+    )
+    return REC.forecast_fact(FC.forecast_groups(daily, "prioridade_num"))
+
+
+@query
+def risk_scores(spark, folder):
+    ready = RK.prepare(marts.sla_mart(base(spark, folder)))
+    return RK.score(RK.fit(ready.train), ready.test)
+
+
+@query
+def risk_alerts(spark, folder):
+    return RK.alerts(risk_scores(spark, folder))
+
+
+@query
+def importance(spark, folder):
+    return RK.linear_shap(RK.prepare(marts.sla_mart(base(spark, folder))))
+
+
+@query
+def feature_selection(spark, folder):
+    return RK.selection_report(RK.prepare(marts.sla_mart(base(spark, folder))))
+
+
+@query
+def kmeans_assign(spark, folder):
+    made = CL.run(marts.cluster_mart(base(spark, folder)))
+    return made.assignments.select("incident_id", "cluster_pred", "cluster_label")
+
+
+@query
+def cluster_quality(spark, folder):
+    return CL.quality(CL.run(marts.cluster_mart(base(spark, folder))))
+
+
+@query
+def iso_forest(spark, folder):
+    return AN.detect(marts.cluster_mart(base(spark, folder)))
+
+
+@query
+def iso_forest_summary(spark, folder):
+    return AN.summary(settle(AN.detect(marts.cluster_mart(base(spark, folder)))))
+
+
+@query
+def cv_scores(spark, folder):
+    ready = RK.prepare(marts.sla_mart(base(spark, folder)))
+    return RK.cross_validate(ready.train)

@@ -566,3 +566,10 @@ add("cluster_balance", LABELLED, """SELECT cluster_label, n AS count, pct AS per
 FROM (SELECT cluster_label, count(*) AS n,
         100.0::DOUBLE * count(*) / (SELECT count(*) FROM labelled) AS pct
       FROM labelled GROUP BY 1)""")
+
+# --- Models -------------------------------------------------------------------------------------
+
+add("metrics_skeleton", SILVER, """SELECT (SELECT max("Data_Abertura") FROM silver) AS data_metrica,
+  unnest(['forecast_d1', 'forecast_d7', 'ola_risk', 'clustering']) AS modelo_tipo,
+  NULL::DOUBLE AS mape, NULL::DOUBLE AS rmse, NULL::DOUBLE AS auc_roc, NULL::INT AS amostras,
+  NULL::VARCHAR AS status""")
