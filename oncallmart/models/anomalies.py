@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oncallmart.operators import ordered
+from oncallmart.session import settle
 
 SAMPLE = 256
 TREES = 100
@@ -119,7 +120,7 @@ def detect(mart: DataFrame, contamination: float = 0.05, features: list[str] = F
            seed: int = 42) -> DataFrame:
     """Features, score and -1/1 flag; the share of the lowest scores is flagged."""
     points = inputs(mart, features)
-    scored = score(points, grow(points, seed=seed))
+    scored = settle(score(points, grow(points, seed=seed)))
     cut = ordered.quantiles(scored, ["anomaly_score"], {"cut": contamination})
     return scored.withColumn("_cut", cut.select("cut").scalar()).select(
         "incident_id", *[F.get("x", F.lit(i)).alias(c) for i, c in enumerate(features)],

@@ -1,6 +1,7 @@
 """SLA-risk classifier: encoding, boosted trees, explanation, selection, tuning."""
 
 from dataclasses import dataclass
+from functools import partial
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from oncallmart import schema as S
 from oncallmart.operators import evaluation, prep
-from oncallmart.session import settle, use_shared_checkpoints
+from oncallmart.session import settle, side_by_side, use_shared_checkpoints
 
 LABEL = "target_excedeu_tempo"
 MAX_LEVELS = 500
@@ -287,14 +288,14 @@ def selection_report(prepared: Prepared, above: float = 0.005, **parameters) ->
 
 def grid_search(prepared: Prepared, grid: dict[str, list] = GRID, seed: int = 42) -> DataFrame:
     """One row per combination with its area under the curve and F1."""
-    found = []
-    for depth, rate, trees in product(grid["maxDepth"], grid["stepSize"], grid["maxIter"]):
-        scores = settle(
-            score(fit(prepared.train, trees=trees, depth=depth, rate=rate, seed=seed),
-                  prepared.test)
-        )
+    def evaluate(depth: int, rate: float, trees: int) -> tuple:
+        model = fit(prepared.train, trees=trees, depth=depth, rate=rate, seed=seed)
+        scores = settle(score(model, prepared.test))
         f1 = evaluation.confusion(scores, "y_real", "y_pred").first()["f1"]
-        found.append((depth, rate, trees, auc_of(scores), f1))
+        return depth, rate, trees, auc_of(scores), f1
+
+    combinations = product(grid["maxDepth"], grid["stepSize"], grid["maxIter"])
+    found = side_by_side([partial(evaluate, *c) for c in combinations])
     return prepared.train.sparkSession.createDataFrame(
         found, "max_depth int, learning_rate double, n_estimators int, auc_roc double, f1 double"
     )
@@ -308,14 +309,16 @@ def best_of_grid(results: DataFrame) -> DataFrame:
 def cross_validate(train: DataFrame, folds: int = 5, seed: int = 42, **parameters) -> DataFrame:
     """Area under the curve of each stratified fold: fold, rows, auc."""
     folded = settle(prep.stratified_folds(train, "label", folds, seed=seed))
-    found = []
-    for fold in range(folds):
+
+    def evaluate(fold: int) -> tuple:
         inside = F.col("fold") == fold
         model = fit(folded.where(~inside), seed=seed, **parameters)
         result = evaluation.auc(
             score(model, folded.where(inside)), "y_real", "y_pred_proba"
         ).first()
-        found.append((fold, result["positives"] + result["negatives"], result["auc"]))
+        return fold, result["positives"] + result["negatives"], result["auc"]
+
+    found = side_by_side([partial(evaluate, fold) for fold in range(folds)], folds)
     return train.sparkSession.createDataFrame(found, "fold int, tickets bigint, auc double")
 
 

@@ -824,11 +824,6 @@ def risk_scores(spark, folder):
     return RK.score(RK.fit(ready.train), ready.test)
 
 
-@query
-def risk_alerts(spark, folder):
-    return RK.alerts(risk_scores(spark, folder))
-
-
 @query
 def importance(spark, folder):
     return RK.linear_shap(RK.prepare(marts.sla_mart(base(spark, folder))))
@@ -850,6 +845,12 @@ def cluster_quality(spark, folder):
     return CL.quality(CL.run(marts.cluster_mart(base(spark, folder))))
 
 
+@query
+def cluster_sweep(spark, folder):
+    clean = marts.cluster_mart(base(spark, folder))
+    return CL.sweep(settle(CL.fit_features(clean).apply(clean)))
+
+
 @query
 def iso_forest(spark, folder):
     return AN.detect(marts.cluster_mart(base(spark, folder)))
