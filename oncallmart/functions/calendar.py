@@ -16,8 +16,7 @@ def year_month(at: Column) -> Column:
     return F.date_format(at, "yyyy-MM")
 
 
-def shift(at: Column) -> Column:
-    hour = F.hour(at)
+def shift(hour: Column) -> Column:
     return (
         F.when(hour.between(6, 11), "Manha")
         .when(hour.between(12, 17), "Tarde")
@@ -26,12 +25,17 @@ def shift(at: Column) -> Column:
     )
 
 
-def off_hours(at: Column) -> Column:
-    return flag(~F.hour(at).between(8, 18))
+def off_hours(hour: Column) -> Column:
+    """Outside 08:00 to 18:59."""
+    return flag(~hour.between(8, 18))
+
+
+def is_weekend(dow: Column) -> Column:
+    return flag(dow.isin(0, 6))
 
 
 def weekend(at: Column) -> Column:
-    return flag(day_of_week(at).isin(0, 6))
+    return is_weekend(day_of_week(at))
 
 
 def weekday_name(at: Column) -> Column:

@@ -19,8 +19,8 @@ def opening_dimension(silver: DataFrame) -> DataFrame:
             X.surrogate_key(at).alias("dim_abertura_sk"),
             at.alias("aberto_at"),
             F.hour(at).alias("hora_abertura"),
-            C.shift(at).alias("turno_abertura"),
-            C.off_hours(at).alias("fora_horario_comercial"),
+            C.shift(F.hour(at)).alias("turno_abertura"),
+            C.off_hours(F.hour(at)).alias("fora_horario_comercial"),
             C.weekend(at).alias("abriu_fim_de_semana"),
         )
     )
@@ -77,15 +77,22 @@ def status_dimension(silver: DataFrame) -> DataFrame:
     )
 
 
-def unique_by_key(dimension: DataFrame, key: str) -> DataFrame:
-    """One row per key, for joins; a flag is SIM when any of the rows had it."""
-    flags = {"entrou_kpi"}
-    return dimension.groupBy(key).agg(
-        *[
-            (F.max(c) if c in flags else F.min(c)).alias(c)
-            for c in dimension.columns
-            if c != key
-        ]
+def status_by_key(dimension: DataFrame) -> DataFrame:
+    """One row per key, for joins; the flag is SIM when any of the rows had it.
+
+    The flag is compared as a number, which keeps this a hash aggregate.
+    """
+    eligible = F.max((F.col("entrou_kpi") == "SIM").cast("int"))
+    return dimension.groupBy("dim_status_sk", "status", "codigo_fechamento").agg(
+        F.when(eligible == 1, "SIM").when(eligible == 0, "NAO").alias("entrou_kpi")
+    )
+
+
+def priority_by_key(dimension: DataFrame) -> DataFrame:
+    """One row per number, with the first of its spellings; the rest follows from it."""
+    by_number = [c for c in dimension.columns if c != "prioridade_texto"]
+    return dimension.groupBy(*by_number).agg(
+        F.array_min(F.collect_set("prioridade_texto")).alias("prioridade_texto")
     )
 
 
@@ -140,7 +147,7 @@ def fact(silver: DataFrame) -> DataFrame:
         ),
         X.operational_risk_score(
             c("Target_Risco_SLA"), c("Prioridade_Num"), c("Exige_Intervencao"),
-            c("Possui_Pai"), C.off_hours(c("Aberto")),
+            c("Possui_Pai"), C.off_hours(F.hour(c("Aberto"))),
         ).alias("score_risco_operacional"),
         c("Aberto").alias("aberto_at"),
         c("Resolvido").alias("resolvido_at"),
@@ -162,10 +169,10 @@ def dimensions(silver: DataFrame) -> dict[str, DataFrame]:
 
 def joinable(dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The same dimensions with one row per key, so a join never fans out."""
-    repeated = ("dim_status", "dim_prioridade")
     return {
-        name: unique_by_key(dim, f"{name}_sk") if name in repeated else dim
-        for name, dim in dims.items()
+        **dims,
+        "dim_status": status_by_key(dims["dim_status"]),
+        "dim_prioridade": priority_by_key(dims["dim_prioridade"]),
     }
 
 

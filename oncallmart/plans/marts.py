@@ -42,18 +42,20 @@ def base_features(silver: DataFrame) -> DataFrame:
         [F.col(c).alias(n) for c, n in PASSED_THROUGH.items()]
     )
     at = F.col("aberto_at")
-    off = C.off_hours(at)
-    return named.withColumns(
+    dated = named.withColumns(
+        {"hora_abertura": F.hour(at), "dia_semana_num": C.day_of_week(at)}
+    )
+    hour = F.col("hora_abertura")
+    off = C.off_hours(hour)
+    return dated.withColumns(
         {
-            "hora_abertura": F.hour(at),
-            "dia_semana_num": C.day_of_week(at),
             "semana_ano": F.weekofyear(at),
             "mes_abertura": F.month(at),
             "trimestre": F.quarter(at),
             "ano_mes": C.year_month(at),
-            "turno_abertura": C.shift(at),
+            "turno_abertura": C.shift(hour),
             "fora_horario_comercial": off,
-            "abriu_fim_de_semana": C.weekend(at),
+            "abriu_fim_de_semana": C.is_weekend(F.col("dia_semana_num")),
             "horas_ate_resolucao": X.hours_between(at, F.col("resolvido_at")),
             "foi_resolvido": X.flag(F.col("resolvido_at").isNotNull()),
             "is_filho_de_problema": X.flag(F.col("possui_pai") == 1),

@@ -1,11 +1,13 @@
 """Every query by name: (session, folder of test tables) -> DataFrame."""
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncallmart import schema as S
+from oncallmart import session
 from oncallmart.functions import calendar as C
 from oncallmart.functions import tickets as X
 from oncallmart.models import anomalies as AN
@@ -33,7 +35,11 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    @wraps(function)
+    def tuned(spark: SparkSession, folder: str) -> DataFrame:
+        return function(session.tune(spark), folder)
+
+    QUERIES[function.__name__] = tuned
     return function
 
 
@@ -177,13 +183,13 @@ def fct_incidents(spark, folder):
 
 @query
 def star_join(spark, folder):
-    silver = tickets(spark, folder)
+    silver = settle(tickets(spark, folder))
     return star.star_join(star.fact(silver), star.dimensions(silver))
 
 
 @query
 def status_join_unique(spark, folder):
-    silver = tickets(spark, folder)
+    silver = settle(tickets(spark, folder))
     # Counts per key first: the join then moves a handful of rows.
     facts = star.fact(silver).groupBy("dim_status_sk").agg(
         F.count("*").alias("tickets"), F.count_distinct("incident_sk").alias("incidents")
@@ -206,7 +212,8 @@ def date_parts(spark, folder):
         "Numero",
         F.hour(at).alias("hora"), C.day_of_week(at).alias("dow"), F.weekofyear(at).alias("semana"),
         F.month(at).alias("mes"), F.quarter(at).alias("trimestre"), F.col("Ano_Mes").alias("ano_mes"),
-        C.shift(at).alias("turno"), C.off_hours(at).alias("fora_horario"),
+        C.shift(F.hour(at)).alias("turno"),
+        C.off_hours(F.hour(at)).alias("fora_horario"),
         C.weekend(at).alias("fim_de_semana"), C.weekday_name(at).alias("nome_dia"),
         C.month_name_padded(at).alias("nome_mes"),
     )
@@ -219,14 +226,14 @@ def holidays(spark, folder):
 
 @query
 def day_type(spark, folder):
-    silver = tickets(spark, folder)
+    silver = settle(tickets(spark, folder))
     table = K.holidays(K.years_of(silver, "Aberto"))
     return K.with_day_kind(silver.select("Numero", "Data_Abertura"), "Data_Abertura", table)
 
 
 @query
 def day_type_impact(spark, folder):
-    silver = tickets(spark, folder)
+    silver = settle(tickets(spark, folder))
     return A.day_kind_impact(silver, K.holidays(K.years_of(silver, "Aberto")))
 
 
@@ -245,7 +252,7 @@ def date_rollup(spark, folder):
 
 @query
 def role_date_join(spark, folder):
-    facts = star.fact(tickets(spark, folder))
+    facts = settle(star.fact(tickets(spark, folder)))
     return K.by_date_role(
         facts, {"aberto": "aberto_at", "resolvido": "resolvido_at", "encerrado": "encerrado_at"}
     )
@@ -345,7 +352,7 @@ def numeric_corr(spark, folder):
 
 @query
 def duration_summary(spark, folder):
-    work = base(spark, folder)
+    work = settle(base(spark, folder))
     cut = O.quantiles(
         work, ["duracao_horas", "horas_ate_resolucao"], {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     )
@@ -429,12 +436,12 @@ def histogram_by_class(spark, folder):
 
 @query
 def boxplot_stats(spark, folder):
-    return E.box_plot(labelled(spark, folder), "horas_ate_resolucao", "cluster_label")
+    return E.box_plot(settle(labelled(spark, folder)), "horas_ate_resolucao", "cluster_label")
 
 
 @query
 def drift_psi(spark, folder):
-    work = base(spark, folder)
+    work = settle(base(spark, folder))
     edge = F.lit(fixtures.MIN_DATE).cast("date")
     marked = work.withColumn("late", F.col("data_abertura") >= edge)
     parts = [
@@ -480,13 +487,13 @@ def business_days(spark, folder):
 
 @query
 def quality_unique(spark, folder):
-    silver = tickets(spark, folder)
+    silver = settle(tickets(spark, folder))
     return Q.star_unique(star.fact(silver), star.dimensions(silver))
 
 
 @query
 def quality_not_null(spark, folder):
-    silver = tickets(spark, folder)
+    silver = settle(tickets(spark, folder))
     return Q.silver_not_null(silver).unionByName(
         Q.star_not_null(star.fact(silver), star.dimensions(silver))
     )
@@ -494,7 +501,7 @@ def quality_not_null(spark, folder):
 
 @query
 def quality_models(spark, folder):
-    work = base(spark, folder)
+    work = settle(base(spark, folder))
     return Q.model_tests(
         work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
     )
@@ -515,7 +522,7 @@ def quality_accepted(spark, folder):
 
 @query
 def quality_orphans(spark, folder):
-    silver = tickets(spark, folder)
+    silver = settle(tickets(spark, folder))
     return Q.star_references(star.fact(silver), star.dimensions(silver))
 
 
@@ -531,7 +538,7 @@ def quality_job_ranges(spark, folder):
 
 @query
 def table_counts_union(spark, folder):
-    work = base(spark, folder)
+    work = settle(base(spark, folder))
     return Q.table_counts(
         {
             "ml_base_features": work,
@@ -544,7 +551,7 @@ def table_counts_union(spark, folder):
 
 @query
 def scalar_checks(spark, folder):
-    work = base(spark, folder)
+    work = settle(base(spark, folder))
     return Q.key_checks(
         work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
     )
@@ -629,14 +636,14 @@ def mean_impute(spark, folder):
 
 @query
 def iqr_vote(spark, folder):
-    mart = marts.cluster_mart(base(spark, folder))
+    mart = settle(marts.cluster_mart(base(spark, folder)))
     voted = P.iqr_votes(mart, P.iqr_fences(mart))
     return voted.select("incident_id", "outlier_votes", "is_outlier")
 
 
 @query
 def clean_plus_outliers(spark, folder):
-    mart = marts.cluster_mart(base(spark, folder))
+    mart = settle(marts.cluster_mart(base(spark, folder)))
     voted = P.iqr_votes(mart, P.iqr_fences(mart), share=0.15)
     clean, outliers = P.split_outliers(voted)
     both = clean.withColumn("origem", F.lit("clean")).unionByName(
@@ -656,7 +663,7 @@ def cyclic_enc(spark, folder):
 
 @query
 def freq_enc(spark, folder):
-    chosen = base(spark, folder).select("incident_id", *S.FREQUENCY_COLUMNS)
+    chosen = settle(base(spark, folder).select("incident_id", *S.FREQUENCY_COLUMNS))
     return P.frequency_encode(chosen, {c: P.frequencies(chosen, c) for c in S.FREQUENCY_COLUMNS})
 
 
@@ -706,7 +713,10 @@ def class_weights(spark, folder):
 
 @query
 def zscore_flags(spark, folder):
-    return P.sigma_flags(base(spark, folder), "duracao_horas", "incident_id")
+    return P.sigma_flags(
+        settle(base(spark, folder).select("incident_id", "duracao_horas")),
+        "duracao_horas", "incident_id",
+    )
 
 
 # --- Evaluation on a score that follows from the data ----------------------------------------

@@ -4,16 +4,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oncallmart import schema as S
-from oncallmart.functions.tickets import limit_hours
 
 MIN_DATE = "1999-01-01"
-PRIORITY_TEXT = {
-    1: "1 - Crítica", 2: "2 - Alta", 3: "3 - Moderada", 4: "4 - Baixa", 5: "5 - Muito Baixa",
+
+# Columns of the test tables that the tickets need; given schemas spare a pass over the
+# file footers.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "labels": "doc_id bigint, quality int, toxic int",
 }
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Rows of a source with fewer splits than cores, dealt out over all cores.
+
+    A source that small is cheap to shuffle; a larger one is returned as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores, key)
 
 
 def bronze(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,7 +41,7 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
     knows the key is unique and drops the join, scan and shuffle altogether when
     a query uses none of its columns.
     """
-    orders = table(spark, folder, "orders")
+    orders = spread(table(spark, folder, "orders"), "o_orderkey")
     lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("part_key"), F.min("l_suppkey").alias("supp_key")
     )
@@ -40,70 +58,45 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
         .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(parts, F.col("part_key") == F.col("p_partkey"), "left")
     )
-    return _as_tickets(joined)
-
-
-def _as_tickets(joined: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    opened = F.col("o_orderdate")
-    noise = F.col("o_orderstatus") == "P"
-    number = F.substring("o_orderpriority", 1, 1).cast("int")
-    step = (k * 104729) % 600
-    cube = step * step * step
-    seconds = (cube - cube % 600) / 600
-
-    def plus_seconds(start, amount):
-        return start + F.make_dt_interval(secs=amount)
-
-    def ticket_id(key):
-        return F.concat(F.lit("INC"), F.lpad(key.cast("string"), 9, "0"))
-
-    base = joined.select(
-        "*",
-        seconds.cast("bigint").alias("secs"),
-        number.alias("pn"),
-        plus_seconds(opened, ((k * 7919) % 86400).cast("decimal(18,6)")).alias("opened"),
-        (k % 8 == 3).alias("has_parent"),
-    )
-    in_kpi = (F.col("pn") <= 3) & ~F.col("has_parent") & ~noise
-    late = F.col("secs") > 3600 * limit_hours(S.CONTRACT_HOURS, F.col("pn"))
-    text = F.create_map(*[F.lit(v) for pair in PRIORITY_TEXT.items() for v in pair])
-    four_fifths = ((F.col("secs") * 4 - (F.col("secs") * 4) % 5) / 5).cast("decimal(18,6)")
-    return base.select(
-        ticket_id(k).alias("Numero"),
-        F.element_at(text, F.col("pn")).alias("Prioridade"),
-        F.col("p_brand").alias("Produto"),
-        F.col("p_type").alias("Categoria"),
-        F.col("p_name").alias("Subcategoria"),
-        F.when(
-            k % 97 != 0,
-            F.concat(F.lit("Team"), F.lpad((F.col("nation_key") + 1).cast("string"), 2, "0")),
-        ).alias("Grupo_designado"),
-        F.concat(F.lit("CI-"), F.col("supp_key").cast("string")).alias("Item_de_configuracao"),
-        F.col("opened").alias("Aberto"),
-        F.when(~noise, plus_seconds(F.col("opened"), four_fifths)).alias("Resolvido"),
-        plus_seconds(F.col("opened"), F.col("secs").cast("decimal(18,6)")).alias("Encerrado"),
-        F.col("secs").alias("Duracao"),
-        F.when(noise, None)
-        .when(k % 5 == 0, "Resolvido pelo Usuário")
-        .when(k % 5 == 1, "Sem Descrição")
-        .otherwise("Sucesso")
-        .alias("Codigo_de_fechamento"),
-        F.coalesce(F.col("p_name"), F.lit("Sem item")).alias("Descricao_resumida"),
-        F.when(~noise, F.concat(F.lit("Solucao "), (k % 7).cast("string"))).alias("Solucao"),
-        F.when(noise, "Monitoramento")
-        .otherwise(F.concat(F.lit("User"), (F.col("o_custkey") % 50).cast("string")))
-        .alias("Aberto_por"),
-        F.when(F.col("has_parent"), ticket_id(k - 3)).alias("Incidente_Pai"),
-        F.when(F.col("o_orderstatus") == "F", "Encerrado")
-        .when(F.col("o_orderstatus") == "O", "Resolvido")
-        .otherwise(S.NOISE_STATUS)
-        .alias("Status"),
-        F.when(in_kpi, "SIM").otherwise("NAO").alias("Entrou_para_KPI"),
-        F.when(k % 10 != 7, F.when(in_kpi & (k % 4 == 0) & late, "SIM").otherwise("NAO")).alias(
-            "KPI_Violado"
-        ),
-    )
+    return joined.selectExpr("*", *STEPS).selectExpr(*TICKET)
+
+
+# The mapping of FIXTURES.md, as SQL expressions over one order and its joined rows.
+STEPS = [
+    "o_orderkey AS k",
+    "cast(substr(o_orderpriority, 1, 1) AS int) AS pn",
+    "cast(pow(o_orderkey * 104729 % 600, 3) AS bigint) div 600 AS secs",
+    "o_orderstatus = 'P' AS noise",
+    "o_orderkey % 8 = 3 AS kid",
+    "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey * 7919 % 86400) AS opened",
+]
+IN_KPI = "(pn <= 3 AND NOT kid AND NOT noise)"
+LATE = "secs > 3600 * element_at(map(1, 4, 2, 4, 3, 12, 4, 24, 5, 96), pn)"
+TICKET = [
+    "'INC' || lpad(cast(k AS string), 9, '0') AS Numero",
+    "element_at(map(1, '1 - Crítica', 2, '2 - Alta', 3, '3 - Moderada', 4, '4 - Baixa', "
+    "5, '5 - Muito Baixa'), pn) AS Prioridade",
+    "p_brand AS Produto",
+    "p_type AS Categoria",
+    "p_name AS Subcategoria",
+    "if(k % 97 <> 0, 'Team' || lpad(cast(nation_key + 1 AS string), 2, '0'), null) "
+    "AS Grupo_designado",
+    "'CI-' || cast(supp_key AS string) AS Item_de_configuracao",
+    "opened AS Aberto",
+    "if(noise, null, opened + make_dt_interval(0, 0, 0, secs * 4 div 5)) AS Resolvido",
+    "opened + make_dt_interval(0, 0, 0, secs) AS Encerrado",
+    "secs AS Duracao",
+    "CASE WHEN noise THEN null WHEN k % 5 = 0 THEN 'Resolvido pelo Usuário' "
+    "WHEN k % 5 = 1 THEN 'Sem Descrição' ELSE 'Sucesso' END AS Codigo_de_fechamento",
+    "coalesce(p_name, 'Sem item') AS Descricao_resumida",
+    "if(noise, null, 'Solucao ' || cast(k % 7 AS string)) AS Solucao",
+    "if(noise, 'Monitoramento', 'User' || cast(o_custkey % 50 AS string)) AS Aberto_por",
+    "if(kid, 'INC' || lpad(cast(k - 3 AS string), 9, '0'), null) AS Incidente_Pai",
+    "CASE o_orderstatus WHEN 'F' THEN 'Encerrado' WHEN 'O' THEN 'Resolvido' "
+    "ELSE 'Sem Intervenção' END AS Status",
+    f"if({IN_KPI}, 'SIM', 'NAO') AS Entrou_para_KPI",
+    f"if(k % 10 = 7, null, if({IN_KPI} AND k % 4 = 0 AND {LATE}, 'SIM', 'NAO')) AS KPI_Violado",
+]
 
 
 def raw_export(spark: SparkSession, folder: str) -> DataFrame:
