@@ -295,8 +295,9 @@ def grid_search(prepared: Prepared, grid: dict[str, list] = GRID, seed: int = 42
         return depth, rate, trees, auc_of(scores), f1
 
     combinations = product(grid["maxDepth"], grid["stepSize"], grid["maxIter"])
-    found = side_by_side([partial(evaluate, *c) for c in combinations])
-    return prepared.train.sparkSession.createDataFrame(
+    spark = prepared.train.sparkSession
+    found = side_by_side(spark, [partial(evaluate, *c) for c in combinations])
+    return spark.createDataFrame(
         found, "max_depth int, learning_rate double, n_estimators int, auc_roc double, f1 double"
     )
 
@@ -318,7 +319,9 @@ def cross_validate(train: DataFrame, folds: int = 5, seed: int = 42, **parameter
         ).first()
         return fold, result["positives"] + result["negatives"], result["auc"]
 
-    found = side_by_side([partial(evaluate, fold) for fold in range(folds)], folds)
+    found = side_by_side(
+        train.sparkSession, [partial(evaluate, fold) for fold in range(folds)], folds
+    )
     return train.sparkSession.createDataFrame(found, "fold int, tickets bigint, auc double")
 
 

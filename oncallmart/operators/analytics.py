@@ -259,13 +259,16 @@ def parent_children(silver: DataFrame) -> DataFrame:
 
 
 def histogram(frame: DataFrame, column: str, bins: int, by: list[str] = ()) -> DataFrame:
-    """Equal-width bins between the overall minimum and maximum; the last is closed."""
+    """Equal-width bins between the overall minimum and maximum; the last is closed.
+
+    A column with one value falls into the middle bin.
+    """
     value = F.col(column).cast("double")
     limits = frame.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     placed = frame.where(value.isNotNull()).withColumn("_l", limits)
     low, high = F.col("_l.lo"), F.col("_l.hi")
     position = F.floor((value - low) * bins / F.nullif(high - low, F.lit(0.0)))
-    index = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0)).cast("int")
+    index = F.least(F.coalesce(position, F.lit(bins // 2)), F.lit(bins - 1)).cast("int")
     return placed.groupBy(*by, index.alias("bin")).agg(F.count("*").alias("tickets"))
 
 

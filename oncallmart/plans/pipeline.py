@@ -74,7 +74,7 @@ def gold_tables(spark: SparkSession, layout: Layout) -> dict:
 
 
 def export_gold(spark: SparkSession, layout: Layout) -> dict[str, sinks.Written]:
-    return sinks.export_all(gold_tables(spark, layout), layout.path("gold", "").rstrip("/"))
+    return sinks.export_all(gold_tables(spark, layout), lambda name: layout.path("gold", name))
 
 
 def gold(spark: SparkSession, layout: Layout, name: str) -> DataFrame:

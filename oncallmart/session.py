@@ -71,9 +71,10 @@ def settle(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def side_by_side(jobs: list[Callable], at_once: int = 4) -> list:
+def side_by_side(spark: SparkSession, jobs: list[Callable], at_once: int = 4) -> list:
     """Run independent fits at the same time; each one is a chain of small Spark jobs
     whose waits the others fill. Results come back in the order of the jobs."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPool(at_once) as pool:
-        running = [pool.apply_async(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.apply_async(inherit(job)) for job in jobs]
         return [result.get() for result in running]

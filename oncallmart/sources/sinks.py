@@ -91,15 +91,16 @@ def write_output(frame: DataFrame, path: str, csv: bool = False) -> None:
         written.write.mode("overwrite").option("header", True).csv(f"{path}_csv")
 
 
-def export_all(tables: dict[str, Callable[[], DataFrame]], folder: str) -> dict[str, Written]:
+def export_all(tables: dict[str, Callable[[], DataFrame]],
+               path_of: Callable[[str], str]) -> dict[str, Written]:
     """Write every table; one that fails does not stop the others."""
     done: dict[str, Written] = {}
     failed: dict[str, str] = {}
     for name, build in tables.items():
         try:
             counted, seen = _observed(build())
-            counted.write.mode("overwrite").parquet(f"{folder}/{name}")
-            done[name] = Written(f"{folder}/{name}", seen.get["rows"])
+            counted.write.mode("overwrite").parquet(path_of(name))
+            done[name] = Written(path_of(name), seen.get["rows"])
         except Exception as error:  # any cause: report it with the others
             failed[name] = f"{type(error).__name__}: {error}"
     if failed:
