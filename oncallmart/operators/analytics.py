@@ -324,3 +324,28 @@ def psi(frame: DataFrame, feature: str, when_late: str, floor: float = 1e-6) ->
         "early", "late",
         F.round((late - early) * F.log(late / early), 9).alias("psi"),
     )
+
+
+def mean_shift(frame: DataFrame, features: list[str], when_late: str) -> DataFrame:
+    """Mean of each feature in the early and the late window, and the shift in
+    early standard deviations."""
+    late = F.col(when_late)
+
+    def shift(c: str):
+        value = F.col(c).cast("double")
+        early_value, late_value = F.when(~late, value), F.when(late, value)
+        move = F.avg(late_value) - F.avg(early_value)
+        return F.struct(
+            F.lit(c).alias("feature"),
+            F.round(F.avg(early_value), 6).alias("mean_early"),
+            F.round(F.avg(late_value), 6).alias("mean_late"),
+            F.round(move / F.nullif(F.stddev_samp(early_value), F.lit(0.0)), 6).alias("shift"),
+        )
+
+    return frame.agg(F.array(*[shift(c) for c in features]).alias("s")).select(F.inline("s"))
+
+
+def with_effects(assigned: DataFrame, mart: DataFrame) -> DataFrame:
+    """Bring the outcome columns back to assigned tickets, by ticket id."""
+    effects = mart.select("incident_id", *S.EFFECT_COLUMNS)
+    return assigned.join(effects, "incident_id", "left")

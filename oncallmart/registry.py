@@ -3,6 +3,7 @@
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -451,6 +452,15 @@ def drift_psi(spark, folder):
     return Q.union(parts)
 
 
+@query
+def drift_means(spark, folder):
+    edge = F.lit(fixtures.MIN_DATE).cast("date")
+    marked = base(spark, folder).withColumn("late", F.col("data_abertura") >= edge)
+    return A.mean_shift(
+        marked, ["duracao_horas", "score_risco_operacional", "prioridade_num"], "late"
+    )
+
+
 # --- Compliance ------------------------------------------------------------------------
 
 
@@ -792,6 +802,55 @@ def cluster_balance(spark, folder):
     return E.cluster_balance(labelled(spark, folder), "cluster_label")
 
 
+@query
+def effect_join(spark, folder):
+    mart = settle(labelled(spark, folder))
+    assigned = mart.select("incident_id", "cluster_label")
+    return A.with_effects(assigned, mart)
+
+
+@query
+def status_join_fanout(spark, folder):
+    """The raw many-to-many join: a ticket appears once per row of its status key."""
+    silver = settle(tickets(spark, folder))
+    facts = star.fact(silver).groupBy("dim_status_sk").agg(F.count("*").alias("n"))
+    joined = facts.join(star.status_dimension(silver), "dim_status_sk")
+    return joined.groupBy("status", "codigo_fechamento", "entrou_kpi").agg(
+        F.sum("n").alias("joined_rows")
+    )
+
+
+# --- Facts fed by model output, on the labels and scores above -------------------------------
+
+
+@query
+def fct_cluster_id(spark, folder):
+    letters = F.array(*[F.lit(v) for v in S.CLUSTER_LABELS.values()])
+    silver = settle(tickets(spark, folder))
+    made = marts.base_features(silver).select(
+        "incident_id", (F.col("prioridade_num") % 4).alias("cluster_pred"),
+        F.element_at(letters, F.col("prioridade_num") % 4 + 1).alias("cluster_label"),
+    )
+    return REC.cluster_fact(made, star.fact(silver))
+
+
+@query
+def dim_cluster(spark, folder):
+    profile = E.cluster_profile(
+        labelled(spark, folder), "cluster_label", ["duracao_horas", "target_risco_sla"]
+    )
+    return REC.cluster_dimension(profile)
+
+
+@query
+def fct_ola_risk(spark, folder):
+    scores = scored(spark, folder).select(
+        "incident_id", F.col("label").alias("y_real"),
+        (F.col("score") > 0.5).cast("int").alias("y_pred"), F.col("score").alias("y_pred_proba"),
+    )
+    return REC.risk_fact(scores, star.fact(tickets(spark, folder)))
+
+
 # --- Models ------------------------------------------------------------------------------------
 
 
@@ -810,6 +869,21 @@ def forecast_holdout(spark, folder):
     return FC.evaluate_global(marts.forecast_mart(base(spark, folder)))
 
 
+@query
+def fct_model_metrics(spark, folder):
+    silver = settle(tickets(spark, folder))
+    daily = settle(marts.forecast_mart(marts.base_features(silver)))
+    errors = R.error_metrics(settle(FC.evaluate_global(daily)), "y", "yhat").first()
+    measured = RK.metric_rows(
+        spark, {"mape": errors["mape"], "rmse": errors["rmse"], "amostras": errors["n"]}
+    )
+    runs = [
+        REC.record(measured, "run-1", model, "2001-08-01 05:00:00")
+        for model in ("forecast_d1", "forecast_d7")
+    ]
+    return REC.metrics_fact(REC.metrics_skeleton(silver), Q.union(runs))
+
+
 @query
 def forecast_team(spark, folder):
     return FC.group_errors(FC.holdout_by_group(A.team_daily(base(spark, folder))))
@@ -850,6 +924,15 @@ def kmeans_assign(spark, folder):
     return made.assignments.select("incident_id", "cluster_pred", "cluster_label")
 
 
+@query
+def pca_projection(spark, folder):
+    mart = settle(marts.cluster_mart(base(spark, folder)))
+    xy = vector_to_array("features")
+    return CL.fit_features(mart).apply(mart).select(
+        "incident_id", F.get(xy, F.lit(0)).alias("pc1"), F.get(xy, F.lit(1)).alias("pc2")
+    )
+
+
 @query
 def cluster_quality(spark, folder):
     return CL.quality(CL.run(marts.cluster_mart(base(spark, folder))))
@@ -857,7 +940,7 @@ def cluster_quality(spark, folder):
 
 @query
 def cluster_sweep(spark, folder):
-    clean = marts.cluster_mart(base(spark, folder))
+    clean = settle(marts.cluster_mart(base(spark, folder)))
     return CL.sweep(settle(CL.fit_features(clean).apply(clean)))
 
 

@@ -573,3 +573,34 @@ add("metrics_skeleton", SILVER, """SELECT (SELECT max("Data_Abertura") FROM silv
   unnest(['forecast_d1', 'forecast_d7', 'ola_risk', 'clustering']) AS modelo_tipo,
   NULL::DOUBLE AS mape, NULL::DOUBLE AS rmse, NULL::DOUBLE AS auc_roc, NULL::INT AS amostras,
   NULL::VARCHAR AS status""")
+
+# --- Later additions ----------------------------------------------------------------------------
+
+add("drift_means", BASE, union(
+    f"""SELECT '{c}' AS feature, round(avg({c}) FILTER (NOT late), 6) AS mean_early,
+  round(avg({c}) FILTER (late), 6) AS mean_late,
+  round((avg({c}) FILTER (late) - avg({c}) FILTER (NOT late))
+    / stddev_samp({c}) FILTER (NOT late), 6) AS shift
+FROM (SELECT *, data_abertura >= DATE '1999-01-01' AS late FROM base)"""
+    for c in ("duracao_horas", "score_risco_operacional", "prioridade_num")))
+add("effect_join", LABELLED, "SELECT incident_id, cluster_label, " + ", ".join(EFFECTS)
+    + " FROM labelled")
+add("status_join_fanout", DIMS, """SELECT d.status, d.codigo_fechamento, d.entrou_kpi,
+  count(*) AS joined_rows FROM fct f JOIN dim_status d USING (dim_status_sk) GROUP BY 1, 2, 3""")
+BASE_AND_FACT = DIMS + BASE[len(SILVER):]
+add("fct_cluster_id", BASE_AND_FACT, """SELECT incident_id, CAST(prioridade_num % 4 AS INT)
+    AS cluster_pred, ['A', 'B', 'C', 'D'][prioridade_num % 4 + 1] AS cluster_label,
+  f.incident_sk, f.dim_grupo_sk,
+  md5(['A', 'B', 'C', 'D'][prioridade_num % 4 + 1]) AS dim_cluster_sk
+FROM base JOIN fct f USING (incident_id)""")
+add("dim_cluster", LABELLED, "SELECT md5(cluster_label) AS dim_cluster_sk, cluster_label, "
+    + ", ".join(
+    f"""round({c}, 6) AS {c},
+  round(({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER () + 1e-9), 6) AS {c}_norm"""
+    for c in ("duracao_horas", "target_risco_sla")) + """ FROM (SELECT cluster_label,
+  avg(duracao_horas) AS duracao_horas, avg(target_risco_sla) AS target_risco_sla
+  FROM labelled GROUP BY 1)""")
+add("fct_ola_risk", DIMS + SCORED[len(SILVER):], """SELECT incident_id, label AS y_real,
+  CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS y_pred, score AS y_pred_proba, f.incident_sk,
+  f.dim_tempo_sk, f.dim_grupo_sk, f.dim_prioridade_sk
+FROM scored JOIN fct f USING (incident_id)""")

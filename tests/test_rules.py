@@ -206,6 +206,17 @@ def test_composite_key_keeps_the_place_of_a_null(spark):
     assert len(set(keys)) == 3 and None not in keys
 
 
+def test_key_without_stand_ins_would_lose_rows(spark):
+    """Why every part of a key has a stand-in: plain concatenation gives null keys."""
+    frame = spark.createDataFrame([("a", None)], "x string, y string")
+    plain = F.md5(F.concat("x", F.lit("||"), "y"))
+    skipping = F.md5(F.concat_ws("||", "x", "y"))
+    key = X.surrogate_key(F.col("x"), F.col("y"))
+    assert values(frame, plain) == [(None,)]
+    assert values(frame, skipping) == values(frame, F.md5(F.lit("a")))
+    assert values(frame, key) == values(frame, F.md5(F.lit("a||")))
+
+
 def test_status_dimension_repeats_keys_and_its_join_form_does_not(tickets):
     made = silver.silver(
         tickets(ticket(Entrou_para_KPI="SIM"), ticket("INC2", Entrou_para_KPI="NAO"))
