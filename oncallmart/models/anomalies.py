@@ -119,7 +119,7 @@ def score(points: DataFrame, forest: list) -> DataFrame:
 def detect(mart: DataFrame, contamination: float = 0.05, features: list[str] = FEATURES,
            seed: int = 42) -> DataFrame:
     """Features, score and -1/1 flag; the share of the lowest scores is flagged."""
-    points = inputs(mart, features)
+    points = settle(inputs(mart, features))
     scored = settle(score(points, grow(points, seed=seed)))
     cut = ordered.quantiles(scored, ["anomaly_score"], {"cut": contamination})
     return scored.withColumn("_cut", cut.select("cut").scalar()).select(

@@ -91,23 +91,23 @@ def drill_down(frame: DataFrame, at: str, measures: list[str]) -> DataFrame:
 def by_date_role(facts: DataFrame, roles: dict[str, str]) -> DataFrame:
     """Monthly counts for each timestamp role, through that role's own calendar.
 
-    Each role counts per day before the join, so the calendar meets at most one
-    row per day.
+    One pass counts the days of all roles; the calendars and the join then meet
+    one row per role and day.
     """
-    parts = []
-    for role, column in roles.items():
-        days = facts.groupBy(F.to_date(column).alias("day")).agg(F.count("*").alias("n"))
-        calendar = padded_calendar(facts, column)
-        parts.append(
-            calendar.join(days, F.col("Date") == F.col("day"), "left")
-            .groupBy("Ano", "MonthNo")
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tickets"), F.count("*").alias("days"))
-            .select(F.lit(role).alias("role"), "Ano", "MonthNo", "tickets", "days")
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    pairs = F.array(
+        *[F.struct(F.lit(r).alias("role"), F.to_date(c).alias("day")) for r, c in roles.items()]
+    )
+    days = facts.select(F.inline(pairs)).where(F.col("day").isNotNull()).groupBy(
+        "role", "day"
+    ).agg(F.count("*").alias("n"))
+    first = F.make_date(F.year(F.min("day")), F.lit(1), F.lit(1))
+    last = F.make_date(F.year(F.max("day")), F.lit(12), F.lit(31))
+    calendar = days.groupBy("role").agg(F.sequence(first, last).alias("dates")).select(
+        "role", F.explode("dates").alias("day")
+    )
+    return calendar.join(days, ["role", "day"], "left").groupBy(
+        "role", F.year("day").alias("Ano"), F.month("day").alias("MonthNo")
+    ).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tickets"), F.count("*").alias("days"))
 
 
 def with_day_kind(frame: DataFrame, day: str, holiday_table: DataFrame) -> DataFrame:

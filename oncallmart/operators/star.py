@@ -1,6 +1,6 @@
 """Star schema: six dimensions, the fact, and the joins between them."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oncallmart import schema as S
@@ -113,21 +113,37 @@ def day_dimension(silver: DataFrame) -> DataFrame:
     )
 
 
+KEY_SOURCES = [
+    "Numero", "Produto", "Categoria", "Subcategoria", "Grupo_designado", "Data_Abertura",
+    "Status", "Codigo_de_fechamento", "Entrou_para_KPI", "Prioridade", "Prioridade_Num", "Aberto",
+]
+
+
+def _keys() -> list[Column]:
+    def key(name: str, *sources: str) -> Column:
+        return X.surrogate_key(*[F.col(s) for s in sources]).alias(name)
+
+    return [
+        key("incident_sk", "Numero"),
+        key("dim_produto_categoria_sk", "Produto", "Categoria", "Subcategoria"),
+        key("dim_grupo_sk", "Grupo_designado"),
+        key("dim_tempo_sk", "Data_Abertura"),
+        _status_key().alias("dim_status_sk"),
+        key("dim_prioridade_sk", "Prioridade_Num"),
+        key("dim_abertura_sk", "Aberto"),
+    ]
+
+
+def fact_keys(silver: DataFrame) -> DataFrame:
+    """Only the keys of the fact; needs no more than `KEY_SOURCES`."""
+    return silver.select(*_keys())
+
+
 def fact(silver: DataFrame) -> DataFrame:
     """One row per ticket: keys, measures and flags, in a single projection."""
-    def c(name: str):
-        return F.col(name)
-
+    c = F.col
     return silver.select(
-        X.surrogate_key(c("Numero")).alias("incident_sk"),
-        X.surrogate_key(c("Produto"), c("Categoria"), c("Subcategoria")).alias(
-            "dim_produto_categoria_sk"
-        ),
-        X.surrogate_key(c("Grupo_designado")).alias("dim_grupo_sk"),
-        X.surrogate_key(c("Data_Abertura")).alias("dim_tempo_sk"),
-        _status_key().alias("dim_status_sk"),
-        X.surrogate_key(c("Prioridade_Num")).alias("dim_prioridade_sk"),
-        X.surrogate_key(c("Aberto")).alias("dim_abertura_sk"),
+        *_keys(),
         c("Numero").alias("incident_id"),
         c("Duracao_Horas").alias("duracao_horas"),
         c("Duracao").alias("duracao_segundos"),

@@ -190,9 +190,9 @@ def star_join(spark, folder):
 
 @query
 def status_join_unique(spark, folder):
-    silver = settle(tickets(spark, folder))
+    silver = tickets(spark, folder)
     # Counts per key first: the join then moves a handful of rows.
-    facts = star.fact(silver).groupBy("dim_status_sk").agg(
+    facts = star.fact_keys(silver).groupBy("dim_status_sk").agg(
         F.count("*").alias("tickets"), F.count_distinct("incident_sk").alias("incidents")
     )
     status = star.joinable(star.dimensions(silver))["dim_status"]
@@ -227,14 +227,14 @@ def holidays(spark, folder):
 
 @query
 def day_type(spark, folder):
-    silver = settle(tickets(spark, folder))
+    silver = tickets(spark, folder)
     table = K.holidays(K.years_of(silver, "Aberto"))
     return K.with_day_kind(silver.select("Numero", "Data_Abertura"), "Data_Abertura", table)
 
 
 @query
 def day_type_impact(spark, folder):
-    silver = settle(tickets(spark, folder))
+    silver = tickets(spark, folder)
     return A.day_kind_impact(silver, K.holidays(K.years_of(silver, "Aberto")))
 
 
@@ -253,7 +253,7 @@ def date_rollup(spark, folder):
 
 @query
 def role_date_join(spark, folder):
-    facts = settle(star.fact(tickets(spark, folder)))
+    facts = star.fact(tickets(spark, folder))
     return K.by_date_role(
         facts, {"aberto": "aberto_at", "resolvido": "resolvido_at", "encerrado": "encerrado_at"}
     )
@@ -353,7 +353,7 @@ def numeric_corr(spark, folder):
 
 @query
 def duration_summary(spark, folder):
-    work = settle(base(spark, folder))
+    work = base(spark, folder).select("duracao_horas", "horas_ate_resolucao")
     cut = O.quantiles(
         work, ["duracao_horas", "horas_ate_resolucao"], {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     )
@@ -437,17 +437,21 @@ def histogram_by_class(spark, folder):
 
 @query
 def boxplot_stats(spark, folder):
-    return E.box_plot(settle(labelled(spark, folder)), "horas_ate_resolucao", "cluster_label")
+    return E.box_plot(
+        settle(labelled(spark, folder).select("cluster_label", "horas_ate_resolucao")),
+        "horas_ate_resolucao", "cluster_label",
+    )
 
 
 @query
 def drift_psi(spark, folder):
-    work = settle(base(spark, folder))
+    features = ["score_risco_operacional", "hora_abertura", "grupo_designado"]
+    work = settle(base(spark, folder).select("data_abertura", *features))
     edge = F.lit(fixtures.MIN_DATE).cast("date")
     marked = work.withColumn("late", F.col("data_abertura") >= edge)
     parts = [
         A.psi(marked, feature, "late")
-        for feature in ("score_risco_operacional", "hora_abertura", "grupo_designado")
+        for feature in features
     ]
     return Q.union(parts)
 
@@ -497,13 +501,13 @@ def business_days(spark, folder):
 
 @query
 def quality_unique(spark, folder):
-    silver = settle(tickets(spark, folder))
-    return Q.star_unique(star.fact(silver), star.dimensions(silver))
+    silver = tickets(spark, folder)
+    return Q.star_unique(star.fact_keys(silver), star.dimensions(silver))
 
 
 @query
 def quality_not_null(spark, folder):
-    silver = settle(tickets(spark, folder))
+    silver = tickets(spark, folder)
     return Q.silver_not_null(silver).unionByName(
         Q.star_not_null(star.fact(silver), star.dimensions(silver))
     )
@@ -511,7 +515,7 @@ def quality_not_null(spark, folder):
 
 @query
 def quality_models(spark, folder):
-    work = settle(base(spark, folder))
+    work = base(spark, folder)
     return Q.model_tests(
         work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
     )
@@ -532,8 +536,8 @@ def quality_accepted(spark, folder):
 
 @query
 def quality_orphans(spark, folder):
-    silver = settle(tickets(spark, folder))
-    return Q.star_references(star.fact(silver), star.dimensions(silver))
+    silver = settle(tickets(spark, folder).select(*star.KEY_SOURCES))
+    return Q.star_references(star.fact_keys(silver), star.dimensions(silver))
 
 
 @query
@@ -548,7 +552,7 @@ def quality_job_ranges(spark, folder):
 
 @query
 def table_counts_union(spark, folder):
-    work = settle(base(spark, folder))
+    work = base(spark, folder)
     return Q.table_counts(
         {
             "ml_base_features": work,
@@ -561,7 +565,7 @@ def table_counts_union(spark, folder):
 
 @query
 def scalar_checks(spark, folder):
-    work = settle(base(spark, folder))
+    work = base(spark, folder)
     return Q.key_checks(
         work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
     )
@@ -609,7 +613,8 @@ def global_daily(spark, folder):
 @query
 def backtest_folds(spark, folder):
     teams = R.long_enough(A.team_daily(base(spark, folder))).select("team", "ds", "y")
-    return R.fold_sizes(teams.unionByName(global_daily(spark, folder)))
+    # Daily rows of a few series: small next to the tickets, and read three times.
+    return R.fold_sizes(settle(teams.unionByName(global_daily(spark, folder))))
 
 
 @query
@@ -646,14 +651,14 @@ def mean_impute(spark, folder):
 
 @query
 def iqr_vote(spark, folder):
-    mart = settle(marts.cluster_mart(base(spark, folder)))
+    mart = settle(base(spark, folder).select("incident_id", *P.IQR_COLUMNS))
     voted = P.iqr_votes(mart, P.iqr_fences(mart))
     return voted.select("incident_id", "outlier_votes", "is_outlier")
 
 
 @query
 def clean_plus_outliers(spark, folder):
-    mart = settle(marts.cluster_mart(base(spark, folder)))
+    mart = settle(base(spark, folder).select("incident_id", *P.IQR_COLUMNS))
     voted = P.iqr_votes(mart, P.iqr_fences(mart), share=0.15)
     clean, outliers = P.split_outliers(voted)
     both = clean.withColumn("origem", F.lit("clean")).unionByName(
@@ -812,8 +817,8 @@ def effect_join(spark, folder):
 @query
 def status_join_fanout(spark, folder):
     """The raw many-to-many join: a ticket appears once per row of its status key."""
-    silver = settle(tickets(spark, folder))
-    facts = star.fact(silver).groupBy("dim_status_sk").agg(F.count("*").alias("n"))
+    silver = tickets(spark, folder)
+    facts = star.fact_keys(silver).groupBy("dim_status_sk").agg(F.count("*").alias("n"))
     joined = facts.join(star.status_dimension(silver), "dim_status_sk")
     return joined.groupBy("status", "codigo_fechamento", "entrou_kpi").agg(
         F.sum("n").alias("joined_rows")
