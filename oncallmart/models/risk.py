@@ -14,6 +14,7 @@ from pyspark.ml.feature import (
     VectorSlicer,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,17 +183,15 @@ def linear_shap(prepared: Prepared) -> DataFrame:
     model = LogisticRegression(
         featuresCol="scaled", labelCol="label", regParam=1e-4, maxIter=100
     ).fit(scaler.transform(prepared.train))
-    weights = F.array(*[F.lit(float(w)) for w in model.coefficients.toArray()])
-    values = scaler.transform(prepared.test).select(
-        F.posexplode(
-            F.transform(
-                vector_to_array("scaled"),
-                lambda x, i: F.abs(x * F.get(weights, i)),
-            )
-        ).alias("pos", "effect")
+    # The sum of absolute values of every dimension, from one vector aggregate.
+    sizes = scaler.transform(prepared.test).select(
+        Summarizer.metrics("normL1", "count").summary(F.col("scaled")).alias("s")
+    ).select("s.*").first()
+    effects = abs(model.coefficients.toArray()) * sizes["normL1"].toArray() / sizes["count"]
+    return prepared.train.sparkSession.createDataFrame(
+        [(n, float(e)) for n, e in zip(prepared.encoder.names(), effects)],
+        "feature string, importance double",
     )
-    means = values.groupBy("pos").agg(F.avg("effect").alias("importance"))
-    return _ranking(means, prepared.encoder.names(), "importance")
 
 
 def permutation_importance(model, frame: DataFrame, names: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from oncallmart import schema as S
 from oncallmart.functions import numeric as N
 from oncallmart.operators import joins, ordered
+from oncallmart.session import settle
 
 IQR_COLUMNS = [
     "prioridade_num", "hora_abertura", "dia_semana_num", "fora_horario_comercial",
@@ -51,24 +52,44 @@ def cyclic(frame: DataFrame, cycles: dict[str, int] = S.CYCLES) -> DataFrame:
     return frame.withColumns(added).drop(*cycles)
 
 
-def frequencies(frame: DataFrame, column: str) -> DataFrame:
-    """Share of each level among the rows that have a value."""
-    filled = frame.where(F.col(column).isNotNull())
-    total = filled.agg(F.count("*")).scalar()
-    return filled.groupBy(column).agg((F.count("*") / total).alias(f"{column}_freq"))
+def _levels(frame: DataFrame, columns: list[str], missing: str | None = None) -> DataFrame:
+    """Rows per (column, level) for several text columns, in one pass."""
+    def level(c: str):
+        text = F.col(c).cast("string")
+        return F.coalesce(text, F.lit(missing)) if missing else text
+
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("column"), level(c).alias("level")) for c in columns]
+    )
+    return (
+        frame.select(F.inline(pairs)).where(F.col("level").isNotNull())
+        .groupBy("column", "level").agg(F.count("*").alias("n"))
+    )
+
+
+def frequencies(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """Share of each level among the rows that have a value: column, level, share."""
+    counts = settle(_levels(frame, columns))
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    return counts.join(totals, "column").select(
+        "column", "level", (F.col("n") / F.col("total")).alias("share")
+    )
 
 
-def frequency_encode(frame: DataFrame, fitted: dict[str, DataFrame]) -> DataFrame:
+def frequency_encode(frame: DataFrame, fitted: DataFrame, columns: list[str]) -> DataFrame:
     """Swap each level for its share; unseen and missing levels become 0.
 
-    The level tables grow with the data, so the planner picks the join by their
-    measured size.
+    The level table grows with the data, so the planner picks each join by the
+    measured size of the column's part.
     """
     out = frame
-    for column, levels in fitted.items():
-        out = out.join(levels, column, "left").withColumn(
-            column, F.coalesce(f"{column}_freq", F.lit(0.0))
-        ).drop(f"{column}_freq")
+    for column in columns:
+        shares = fitted.where(F.col("column") == column).select(
+            F.col("level").alias(column), F.col("share").alias("_share")
+        )
+        out = out.join(shares, column, "left").withColumn(
+            column, F.coalesce("_share", F.lit(0.0))
+        ).drop("_share")
     return out
 
 
@@ -77,18 +98,7 @@ def one_hot_levels(frame: DataFrame, columns: list[str], cap: int = 50) -> DataF
 
     With more than `cap` levels the last place is for all the others together.
     """
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias("level"),
-            )
-            for c in columns
-        ]
-    )
-    counts = frame.select(F.inline(pairs)).groupBy("column", "level").agg(
-        F.count("*").alias("n")
-    )
+    counts = _levels(frame, columns, missing="unknown")
     sizes = counts.groupBy("column").agg(F.count("*").alias("levels"))
     # Ranked against the literal cap, Spark keeps a top-k per task before the shuffle.
     ranked = counts.withColumn(

@@ -679,7 +679,9 @@ def cyclic_enc(spark, folder):
 @query
 def freq_enc(spark, folder):
     chosen = settle(base(spark, folder).select("incident_id", *S.FREQUENCY_COLUMNS))
-    return P.frequency_encode(chosen, {c: P.frequencies(chosen, c) for c in S.FREQUENCY_COLUMNS})
+    return P.frequency_encode(
+        chosen, P.frequencies(chosen, S.FREQUENCY_COLUMNS), S.FREQUENCY_COLUMNS
+    )
 
 
 @query

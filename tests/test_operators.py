@@ -147,6 +147,44 @@ def test_constant_column_histogram_and_scaling(spark):
     assert {r["v"] for r in prep.standardise(frame, ["v"]).collect()} == {0.0}
 
 
+def test_hot_keys_keep_every_row(spark, tmp_path):
+    """A third of the tickets share one parent, one group, one second and one product."""
+    from oncallmart import schema as S
+    from oncallmart.operators import silver, star
+
+    n = 3000
+    hot = F.col("id") % 3 == 0
+    number = F.concat(F.lit("INC"), F.lpad(F.col("id").cast("string"), 9, "0"))
+    start = F.lit("2025-01-06 09:00:00").cast("timestamp_ntz")
+    tickets = spark.range(n).select(
+        number.alias("Numero"), F.lit("2 - Alta").alias("Prioridade"),
+        F.when(hot, "P").otherwise(F.concat(F.lit("P"), F.col("id"))).alias("Produto"),
+        F.lit("C").alias("Categoria"), F.lit("S").alias("Subcategoria"),
+        F.when(~hot, F.concat(F.lit("T"), F.col("id") % 50)).alias("Grupo_designado"),
+        F.lit("CI").alias("Item_de_configuracao"),
+        F.when(hot, start).otherwise(
+            start + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))
+        ).alias("Aberto"),
+        start.alias("Resolvido"), start.alias("Encerrado"), F.col("id").alias("Duracao"),
+        F.lit("Sucesso").alias("Codigo_de_fechamento"), F.lit("d").alias("Descricao_resumida"),
+        F.lit("s").alias("Solucao"), F.lit("u").alias("Aberto_por"),
+        F.when(hot, F.lit("INC000000001")).alias("Incidente_Pai"),
+        F.lit("Encerrado").alias("Status"), F.lit("SIM").alias("Entrou_para_KPI"),
+        F.lit("NAO").alias("KPI_Violado"),
+    )
+    made = silver.silver(tickets)
+    assert made.columns[: len(S.BRONZE.names)] == S.BRONZE.names
+    joined = star.star_join(star.fact(made), star.dimensions(made))
+    assert joined.count() == n and joined.select("incident_id").distinct().count() == n
+    assert joined.where("grupo_designado is null").count() == n // 3
+    children = analytics.parent_children(made).collect()
+    assert [(r["parent_id"], r["children"]) for r in children] == [("INC000000001", n // 3)]
+    quartiles = ordered.quantiles(made, ["Duracao_Horas"], {"q": 0.5}, ["Grupo_designado"])
+    assert quartiles.count() == 51
+    split = prep.exact_stratified_split(made, "Possui_Pai", "Numero")
+    assert split.count() == n and split.where("is_test").count() == n // 5
+
+
 # --- Series ----------------------------------------------------------------------------
 
 
