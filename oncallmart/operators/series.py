@@ -36,9 +36,13 @@ def with_holdout(daily: DataFrame, by: str = "team", last: int = 30) -> DataFram
 
 
 def long_enough(daily: DataFrame, by: str = "team", days: int = 60) -> DataFrame:
-    """Series with at least `days` observed days."""
-    kept = daily.groupBy(by).agg(F.count("*").alias("n_days")).where(F.col("n_days") >= days)
-    return daily.join(kept, by, "inner")
+    """Series with at least `days` observed days.
+
+    Counted by a window over the daily rows of a series: the later windows and fits
+    by series then find the rows already in place.
+    """
+    observed = F.count("*").over(Window.partitionBy(by))
+    return daily.withColumn("n_days", observed).where(F.col("n_days") >= days)
 
 
 def cutoffs(daily: DataFrame, by: str, initial: int = 90, period: int = 30,

@@ -68,7 +68,9 @@ def compare(spark, db, name, folder):
             cols = sorted(columns)
             bad = [(c, p, q) for c, p, q in zip(cols, x, y) if p != q]
             return False, f"{bad[:4]} in row {x[:6]}", took
-        kinds = [(type(p), type(q)) for p, q in zip(x, y) if p is not None and type(p) is not type(q)]
+        kinds = [
+            (type(p), type(q)) for p, q in zip(x, y) if p is not None and type(p) is not type(q)
+        ]
         if kinds:
             return False, f"types {kinds[:3]}", took
     return True, f"{len(a)} rows equal", took

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oncallmart import schema as S
 from oncallmart.models import anomalies, clusters, records, risk
-from oncallmart.operators import prep
+from oncallmart.operators import analytics, prep
 from oncallmart.plans import marts
 
 
@@ -93,6 +93,8 @@ def test_grid_and_folds(ready):
     small = {"maxDepth": [2, 3], "stepSize": [0.1], "maxIter": [2, 4]}
     results = risk.grid_search(ready, small)
     assert results.count() == 4
+    heat = analytics.pivot_max(results, "max_depth", "learning_rate", "auc_roc", [0.1])
+    assert heat.count() == 2 and heat.where("`0.1` is null").count() == 0
     best = risk.best_of_grid(results).first()
     assert best["auc_roc"] == results.agg(F.max("auc_roc")).first()[0]
     folds = risk.cross_validate(ready.train, folds=3, trees=2, depth=2)
@@ -172,3 +174,5 @@ def test_latest_record_wins(spark):
 
     both = rows("r1", 0.5, "2026-01-01 05:00:00").unionByName(rows("r2", 0.4, "2026-01-02 05:00:00"))
     assert records.latest(both).first()["value"] == 0.4
+    moved = records.changes(both).where("previous is not null").first()
+    assert moved["run_id"] == "r2" and moved["change"] == pytest.approx(-0.2)

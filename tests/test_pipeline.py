@@ -34,6 +34,9 @@ def test_monthly_write_round_trip(spark, tickets, tmp_path):
     months = sinks.verify_monthly(spark, written)
     assert written.rows == tickets.count()
     assert months.count() == made.select("Ano_Mes").distinct().count()
+    # Months this small are one file each, not one per writing task.
+    files = spark.read.parquet(written.path).select("Ano_Mes", F.input_file_name()).distinct()
+    assert files.count() == months.count()
 
 
 def test_rewriting_a_month_leaves_the_others(spark, tickets, tmp_path):

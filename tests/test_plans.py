@@ -56,3 +56,12 @@ def test_no_cartesian_products(spark, small, name):
 
 def test_status_join_needs_no_sort_aggregate(spark, small):
     assert "SortAggregate(key=[dim_status" not in plan(registry.QUERIES["star_join"](spark, small))
+
+
+def test_series_are_shuffled_once(spark, base):
+    """Guard, hold-out and fit of each series share the shuffle of its daily counts."""
+    from oncallmart.models import forecast
+    from oncallmart.operators import analytics
+
+    text = plan(forecast.holdout_by_group(analytics.team_daily(base)))
+    assert text.count("Exchange hashpartitioning") == 2  # by (team, day), then by team
