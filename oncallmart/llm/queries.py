@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oncallmart.llm import near_dedup, oracle_sql, rollup, sharding, url_filter
+from oncallmart.llm import near_dedup, oracle_sql, packing, rollup, sharding, url_filter
 from oncallmart.session import tune
 
 
@@ -28,5 +28,12 @@ def op9_url_verdicts(spark, folder):
     return url_filter.judge(table(spark, folder, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op3_near_dedup, op4_token_rollup, op6_shards, op9_url_verdicts)}
+def op10_packing(spark, folder):
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op3_near_dedup, op4_token_rollup, op6_shards, op9_url_verdicts, op10_packing)
+}
 ORACLES = oracle_sql.STATEMENTS

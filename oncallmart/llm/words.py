@@ -16,17 +16,25 @@ FACTORS = [int(xxhash.xxh3_64_intdigest(bytes([k])) | 1) for k in range(16)]
 
 
 class Remembered(dict):
-    """Value of a word, worked out once; forgets all when it holds `most` words."""
+    """Value of a word, worked out once. Holds two halves of at most `most` words each; when
+    the younger is full the older is dropped, so words in steady use are kept."""
 
-    def __init__(self, work, most: int = 300_000):
+    def __init__(self, work=None, most: int = 150_000):
         super().__init__()
-        self.work, self.most = work, most
+        self.work, self.most, self.older = work, most, {}
 
     def __missing__(self, word):
+        value = self.older.get(word)
+        if value is None:
+            value = self.work(word)
+        self.put(word, value)
+        return value
+
+    def put(self, word, value) -> None:
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        value = self[word] = self.work(word)
-        return value
+        self[word] = value
 
 
 def word_numbers() -> Remembered:
