@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oncallmart.llm import near_dedup, oracle_sql, packing, rollup, sharding, url_filter
+from oncallmart.llm import fingerprint, near_dedup, oracle_sql, packing, rollup, sharding, url_filter
 from oncallmart.session import tune
 
 
@@ -32,8 +32,14 @@ def op10_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def op7_fingerprints(spark, folder):
+    return fingerprint.fingerprints(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op3_near_dedup, op4_token_rollup, op6_shards, op9_url_verdicts, op10_packing)
+    for f in (
+        op3_near_dedup, op4_token_rollup, op6_shards, op7_fingerprints, op9_url_verdicts, op10_packing,
+    )
 }
 ORACLES = oracle_sql.STATEMENTS
