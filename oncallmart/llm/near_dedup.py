@@ -7,10 +7,12 @@ make a band, and classes that agree in a band share a bucket. At the threshold o
 pair misses all 24 bands with a chance below one in a million.
 
 Inside a bucket the least id is the hub, and only pairs with it are confirmed, on whole
-sets. Members that this leaves in different components are taken up again: every component
-of the bucket then names hubs, twice as many in each round, until no two members of
-different components are unchecked. So no link of a bucket is lost, and the pairs stay
-within hubs times members instead of members squared.
+sets. A bucket whose members this leaves in different components is taken up again: its
+members are cut into blocks of 256, every pair of blocks is one bounded group, and in it
+sketches of 512 bins tell which members of different components may be linked. Only those
+pairs leave the group, and they are confirmed on whole sets too. The sketch rules a pair out
+five standard deviations below the threshold, so no link of a bucket is lost by it, while
+dissimilar members of a large bucket never become rows.
 
 Null or empty texts have no shingles and link with nothing. Rows that share a doc_id count
 as one node. A null doc_id stays null and links with nothing. Further columns are ignored.
@@ -31,6 +33,7 @@ BANDS, ROWS = 24, 5
 BINS = BANDS * ROWS
 PERCENT = 85
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+SKETCH, BLOCK = 512, 256
 SIGNATURE = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
 
@@ -94,23 +97,94 @@ def _sign(batches):
         )
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """One byte for each of 512 bins: a mark of the bin's least shingle, 0 if it has none."""
+    spread = W.mix(shingles + np.uint64(0xD1B54A32D192ED03))
+    least = np.full(SKETCH, EMPTY)
+    np.minimum.at(least, ((spread >> np.uint64(40)) % np.uint64(SKETCH)).astype(np.int64), spread)
+    marks = (least % np.uint64(255) + np.uint64(1)).astype(np.uint8)
+    return np.where(least == EMPTY, np.uint8(0), marks).tobytes()
+
+
 def _sets(batches):
     numbers = W.word_numbers()
     for batch in batches:
-        sets = [W.shingles(t, numbers).view(np.int64) for t in W.as_bytes(batch.column("text"))]
+        sets = [W.shingles(t, numbers) for t in W.as_bytes(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
-            names=["id", "shingles"],
+            [
+                batch.column("id").cast(pa.int64()),
+                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                pa.array([sketch(s) for s in sets], pa.binary()),
+            ],
+            names=["id", "shingles", "sketch"],
         )
 
 
+def may_link(marks, size, other_marks, other_sizes, percent: int) -> np.ndarray:
+    """Which of several sketches may belong to sets that share `percent` with the first."""
+    least = percent / 100
+    either = np.maximum(((other_marks | marks) != 0).sum(axis=1), 1)
+    same = ((other_marks == marks) & (marks != 0)).sum(axis=1)
+    union = (size + other_sizes) / (1 + least)
+    spread = np.sqrt(least * (1 - least) / either * np.clip(1 - either / union, 0.02, 1))
+    small, large = np.minimum(size, other_sizes), np.maximum(size, other_sizes)
+    return (same / either >= least - 5 * spread - 0.02) & (100 * small >= percent * large)
+
+
+def _tile(percent: int):
+    """Pairs of different components, one member of each of two blocks, that may be linked."""
+
+    def work(tile: pa.Table) -> pa.Table:
+        ids, parts, sizes = (tile.column(c).to_numpy() for c in ("id", "component", "size"))
+        block, one, two = (tile.column(c).to_numpy() for c in ("block", "one", "two"))
+        marks = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        right = np.flatnonzero(block == two)
+        found = []
+        for a in np.flatnonzero(block == one).tolist():
+            b = right[(parts[right] != parts[a]) & ((ids[right] > ids[a]) | (one[0] != two[0]))]
+            if len(b):
+                b = b[may_link(marks[a], sizes[a], marks[b], sizes[b], percent)]
+                found.append(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])]))
+        both = np.concatenate([*found, np.empty((2, 0), np.int64)], axis=1)
+        return pa.table({"hub": pa.array(both[0], pa.int64()), "id": pa.array(both[1], pa.int64())})
+
+    return work
+
+
+def leftover(buckets: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, id) that share a bucket, lie in different components and may be linked."""
+    placed = buckets.join(parts, "id", "left").select(
+        "bucket", "id", F.coalesce("component", "id").alias("component")
+    )
+    mixed = (
+        placed.groupBy("bucket")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+        .where("low < high")
+        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    members = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    marks = sets.select("id", "sketch", F.size("shingles").alias("size"))
+    tiles = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(F.least(k, F.col("block")).alias("one"), F.greatest(k, F.col("block")).alias("two")),
+    )
+    return (
+        members.join(marks, "id")
+        .select("bucket", "id", "component", "size", "sketch", "block", F.inline(tiles))
+        .groupBy("bucket", "one", "two")
+        .applyInArrow(_tile(percent), "hub bigint, id bigint")
+        .distinct()
+    )
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (hub, id) whose whole sets share `percent` of their union or more."""
     hubs = sets.select(F.col("id").alias("hub"), F.col("shingles").alias("hub_shingles"))
     both = F.size(F.array_intersect("shingles", "hub_shingles"))
     union = F.size("shingles") + F.size("hub_shingles") - both
+    members = sets.select("id", "shingles")
     return (
-        pairs.join(sets, "id").join(hubs, "hub").where(both * 100 >= union * percent).select("hub", "id")
+        pairs.join(members, "id").join(hubs, "hub").where(both * 100 >= union * percent).select("hub", "id")
     )
 
 
@@ -120,47 +194,8 @@ def link(buckets: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
     star = buckets.join(hubs, "bucket").where("id != hub")
     edges = settle(confirm(star.select("hub", "id").distinct(), sets, percent))
     parts = settle(components(edges))
-    # A member that was a hub has been held against every member of another component.
-    unchecked = star.select("bucket", "id")
-    hubs_a_component = 1
-    while True:
-        placed = unchecked.join(parts, "id", "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("component")
-        )
-        mixed = (
-            placed.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low < high")
-            .select("bucket")
-        )
-        open_ = settle(placed.join(mixed, "bucket", "left_semi"))
-        if open_.isEmpty():
-            return parts
-        counted = open_.groupBy("bucket", "component").agg(
-            F.count("*").alias("n"), F.min("id").alias("first")
-        )
-        named = settle(
-            open_.join(counted, ["bucket", "component"]).select(
-                "bucket", "id", "component",
-                (
-                    (F.col("id") == F.col("first"))
-                    | (F.pmod(F.xxhash64("id", F.lit(hubs_a_component)), "n") < hubs_a_component)
-                ).alias("is_hub"),
-            )
-        )
-        hub_rows = named.where("is_hub").select(
-            "bucket", F.col("id").alias("hub"), F.col("component").alias("hub_component")
-        )
-        pairs = (
-            named.join(hub_rows, "bucket")
-            .where("component != hub_component")
-            .select(F.least("id", "hub").alias("hub"), F.greatest("id", "hub").alias("id"))
-            .distinct()
-        )
-        edges = settle(edges.union(confirm(pairs, sets, percent)))
-        parts = settle(components(edges))
-        unchecked = named.where("not is_hub").select("bucket", "id")
-        hubs_a_component *= 2
+    more = settle(confirm(leftover(buckets, parts, sets, percent), sets, percent))
+    return parts if more.isEmpty() else settle(components(edges.union(more)))
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -180,7 +215,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = settle(
         texts.join(wanted, "doc_id", "left_semi")
         .withColumnRenamed("doc_id", "id")
-        .mapInArrow(_sets, "id bigint, shingles array<bigint>")
+        .mapInArrow(_sets, "id bigint, shingles array<bigint>, sketch binary")
     )
     parts = link(buckets, sets, percent)
     named = classes.join(parts, "id", "left").select(

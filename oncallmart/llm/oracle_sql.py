@@ -38,6 +38,14 @@ STATEMENTS = {
     SELECT source, lang, 'words/2', sum((NOT is_copy)::INT)::BIGINT,
         sum(CASE WHEN is_copy THEN 0 ELSE pieces END)::BIGINT
     FROM counted GROUP BY source, lang""",
+    "op8_decontamination": "WITH" + SHINGLES.format(name="documents", id="doc_id") + ","
+    + SHINGLES.format(name="benchmark", id="item_id") + """,
+    found AS (SELECT doc_id, unnest(s) AS g FROM documents_sets),
+    wanted AS (SELECT item_id, len(s) AS n_item, unnest(s) AS g FROM benchmark_sets)
+    SELECT doc_id, item_id, n_item::BIGINT AS n_item, count(*)::BIGINT AS n_shared,
+        count(*)::DOUBLE / n_item AS containment
+    FROM found JOIN wanted USING (g) GROUP BY doc_id, item_id, n_item
+    HAVING 100 * count(*) >= 80 * n_item""",
     "op9_url_verdicts": r"""
     WITH parts AS (
         SELECT page_id,

@@ -189,7 +189,7 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
         rows.select("label", "text").mapInArrow(_statistics, "label int, x array<double>").limit(fit_rows)
     )
     found = (
-        sample.groupBy(F.lit(0)).applyInArrow(
+        sample.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(
             _fit, "statistic array<bigint>, cut array<double>, leaf array<double>, base double"
         ).collect()
     )

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oncallmart.llm import fingerprint, near_dedup, oracle_sql, packing, rollup, sharding, url_filter
+from oncallmart.llm import (
+    decontaminate,
+    fingerprint,
+    near_dedup,
+    oracle_sql,
+    packing,
+    personal,
+    quality,
+    rollup,
+    sharding,
+    url_filter,
+)
 from oncallmart.session import tune
 
 
@@ -12,6 +23,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_personal_data(spark, folder):
+    return personal.personal_data(table(spark, folder, "documents"))
+
+
 def op3_near_dedup(spark, folder):
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
@@ -20,10 +35,20 @@ def op4_token_rollup(spark, folder):
     return rollup.document_rollup(table(spark, folder, "documents"))
 
 
+def op5_quality(spark, folder):
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_shards(spark, folder):
     return sharding.assign(table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark, folder):
+    return decontaminate.contained(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op9_url_verdicts(spark, folder):
     return url_filter.judge(table(spark, folder, "pages"))
 
@@ -39,7 +64,8 @@ def op7_fingerprints(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        op3_near_dedup, op4_token_rollup, op6_shards, op7_fingerprints, op9_url_verdicts, op10_packing,
+        op2_personal_data, op3_near_dedup, op4_token_rollup, op5_quality, op6_shards,
+        op7_fingerprints, op8_decontamination, op9_url_verdicts, op10_packing,
     )
 }
 ORACLES = oracle_sql.STATEMENTS
