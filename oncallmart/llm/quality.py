@@ -29,7 +29,7 @@ TREES, DEPTH, BINS, RATE, RIDGE, LEAST_ROWS = 60, 4, 32, 0.2, 1.0, 10.0
 STATISTICS = (
     "chars", "words", "word_length", "distinct_words", "top_word", "repeated_next", "longest_word",
     "lines", "distinct_lines", "letters", "digits", "upper", "spaces", "stops", "symbols", "high_bytes",
-    "end_symbols", "packed", "distinct_pairs", "byte_kinds", "byte_entropy", "vowels",
+    "end_symbols", "packed", "distinct_pairs", "byte_kinds", "byte_entropy", "vowels", "bars",
 )
 RESULT = "doc_id bigint, held_out boolean, score double, predicted int"
 
@@ -68,7 +68,7 @@ def statistics(text: bytes | None) -> list[float]:
         counts[STOP].sum() / size, counts[SYMBOL].sum() / size, counts[128:].sum() / size,
         sum(c for w, c in seen.items() if SYMBOL[w[-1]]) / n, len(zlib.compress(text, 1)) / size,
         len(set(pairs)) / n, float(len(share)), float(-(share * np.log2(share)).sum()),
-        counts[VOWEL].sum() / max(letters, 1),
+        counts[VOWEL].sum() / max(letters, 1), counts[ord("|")] / n,
     ]
 
 

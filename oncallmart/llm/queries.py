@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from oncallmart.llm import (
     decontaminate,
     fingerprint,
+    mixing,
     near_dedup,
     oracle_sql,
     packing,
@@ -23,6 +24,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_context_mixing(spark, folder):
+    return mixing.score_documents(table(spark, folder, "documents"))
+
+
 def op2_personal_data(spark, folder):
     return personal.personal_data(table(spark, folder, "documents"))
 
@@ -64,7 +69,7 @@ def op7_fingerprints(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_personal_data, op3_near_dedup, op4_token_rollup, op5_quality, op6_shards,
+        op1_context_mixing, op2_personal_data, op3_near_dedup, op4_token_rollup, op5_quality, op6_shards,
         op7_fingerprints, op8_decontamination, op9_url_verdicts, op10_packing,
     )
 }
