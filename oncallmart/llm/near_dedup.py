@@ -75,6 +75,11 @@ def band_numbers(bins: np.ndarray) -> np.ndarray:
     return total
 
 
+def as_lists(bands: np.ndarray) -> pa.Array:
+    ends = np.arange(0, bands.size + 1, BANDS, dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, bands.reshape(-1).view(np.int64))
+
+
 def _sign(batches):
     numbers = W.word_numbers()
     for batch in batches:
@@ -88,10 +93,7 @@ def _sign(batches):
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(np.array(sums, np.uint64).view(np.int64)),
                 pa.array(np.array(xors, np.uint64).view(np.int64)),
-                pa.ListArray.from_arrays(
-                    np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32),
-                    bands.reshape(-1).view(np.int64),
-                ),
+                as_lists(bands),
             ],
             names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
         )
@@ -115,8 +117,9 @@ def _sets(batches):
                 batch.column("id").cast(pa.int64()),
                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                 pa.array([sketch(s) for s in sets], pa.binary()),
+                as_lists(band_numbers(bin_minima(sets))),
             ],
-            names=["id", "shingles", "sketch"],
+            names=["id", "shingles", "sketch", "bands"],
         )
 
 
@@ -138,12 +141,17 @@ def _tile(percent: int):
         ids, parts, sizes = (tile.column(c).to_numpy() for c in ("id", "component", "size"))
         block, one, two = (tile.column(c).to_numpy() for c in ("block", "one", "two"))
         marks = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        bucket = tile.column("bucket")[0].as_py()
         right = np.flatnonzero(block == two)
         found = []
         for a in np.flatnonzero(block == one).tolist():
             b = right[(parts[right] != parts[a]) & ((ids[right] > ids[a]) | (one[0] != two[0]))]
             if len(b):
                 b = b[may_link(marks[a], sizes[a], marks[b], sizes[b], percent)]
+                # A pair is reported by the first of the buckets that it shares.
+                same = bands[b] == bands[a]
+                b = b[bands[a][same.argmax(axis=1)] == bucket]
                 found.append(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])]))
         both = np.concatenate([*found, np.empty((2, 0), np.int64)], axis=1)
         return pa.table({"hub": pa.array(both[0], pa.int64()), "id": pa.array(both[1], pa.int64())})
@@ -163,14 +171,14 @@ def leftover(buckets: DataFrame, parts: DataFrame, sets: DataFrame, percent: int
         .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     members = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    marks = sets.select("id", "sketch", F.size("shingles").alias("size"))
+    marks = sets.select("id", "sketch", "bands", F.size("shingles").alias("size"))
     tiles = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least(k, F.col("block")).alias("one"), F.greatest(k, F.col("block")).alias("two")),
     )
     return (
         members.join(marks, "id")
-        .select("bucket", "id", "component", "size", "sketch", "block", F.inline(tiles))
+        .select("bucket", "id", "component", "size", "sketch", "bands", "block", F.inline(tiles))
         .groupBy("bucket", "one", "two")
         .applyInArrow(_tile(percent), "hub bigint, id bigint")
         .distinct()
@@ -215,7 +223,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = settle(
         texts.join(wanted, "doc_id", "left_semi")
         .withColumnRenamed("doc_id", "id")
-        .mapInArrow(_sets, "id bigint, shingles array<bigint>, sketch binary")
+        .mapInArrow(_sets, "id bigint, shingles array<bigint>, sketch binary, bands array<bigint>")
     )
     parts = link(buckets, sets, percent)
     named = classes.join(parts, "id", "left").select(
