@@ -31,22 +31,34 @@ def average_path(n):
 
 
 def inputs(mart: DataFrame, features: list[str] = FEATURES) -> DataFrame:
-    """Id and an array of features; rows with a missing feature are left out."""
-    return mart.na.drop(subset=features).select(
-        "incident_id", F.array(*[F.col(c).cast("double") for c in features]).alias("x")
-    )
+    """Id and an array of features. A missing value becomes the feature's mean, and every
+    feature that may be missing is followed by a 0/1 flag, so open tickets are scored too."""
+    means = mart.agg(F.struct(*[F.avg(c).alias(c) for c in features])).scalar()
+    filled = mart.select("incident_id", *features).withColumn("_mean", means)
+    values = [
+        F.coalesce(F.col(c).cast("double"), F.col(f"_mean.{c}"), F.lit(0.0)) for c in features
+    ]
+    missing = [F.col(c).isNull().cast("double") for c in features if mart.schema[c].nullable]
+    return filled.select("incident_id", F.array(*values, *missing).alias("x"))
 
 
 def samples(points: DataFrame, rows: int, trees: int = TREES, size: int = SAMPLE,
             seed: int = 42) -> DataFrame:
-    """`size` rows for each tree: a thin hash draw, then the smallest hashes."""
-    draw = 1_000_000
-    limit = min(draw, math.ceil(draw * 3 * size / max(rows, 1)))
-    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
-    drawn = F.filter(
-        numbers, lambda t: F.pmod(F.xxhash64("incident_id", t, F.lit(seed)), F.lit(draw)) < limit
+    """`size` rows for each tree: a thin hash draw, then the smallest hashes.
+
+    One hash of a ticket says whether it is drawn at all and for which trees; a ticket goes
+    to several trees only if there are fewer tickets than all samples need.
+    """
+    wanted = 3 * size * trees
+    copies = min(trees, max(1, math.ceil(wanted / max(rows, 1))))
+    draw = F.xxhash64("incident_id", F.lit(seed))
+    thin = F.pmod(draw, F.lit(max(rows, 1))) < wanted if rows > wanted else F.lit(True)
+    first = F.pmod(F.shiftrightunsigned(draw, 20), F.lit(trees)).cast("int")
+    step = F.sequence(F.lit(0), F.lit(copies - 1))
+    numbers = F.transform(step, lambda k: F.pmod(first + k * max(1, trees // copies), F.lit(trees)))
+    chosen = points.where(thin).select(
+        "incident_id", "x", F.explode(F.array_distinct(numbers)).alias("tree")
     )
-    chosen = points.select("incident_id", "x", F.explode(drawn).alias("tree"))
     order = F.xxhash64("incident_id", "tree", F.lit(seed + 1))
     place = F.row_number().over(Window.partitionBy("tree").orderBy(order, "incident_id"))
     return chosen.withColumn("place", place).where(F.col("place") <= size).drop("place")

@@ -4,12 +4,11 @@ from dataclasses import dataclass
 from functools import partial
 from itertools import product
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
-    StringIndexer,
     VectorAssembler,
     VectorSlicer,
 )
@@ -24,8 +23,6 @@ from oncallmart.operators import evaluation, prep
 from oncallmart.session import settle, side_by_side, use_shared_checkpoints
 
 LABEL = "target_excedeu_tempo"
-MAX_LEVELS = 500
-RARE = "infrequent"
 GRID = {"maxDepth": [4, 6, 8], "stepSize": [0.05, 0.1, 0.2], "maxIter": [50, 100, 150]}
 
 
@@ -43,63 +40,78 @@ def feature_columns(mart: DataFrame, chosen: list[str] | None = None) -> tuple[l
     return [c for c in names if c not in text], text
 
 
-def keep_levels(frame: DataFrame, levels: DataFrame, columns: list[str]) -> DataFrame:
-    """Fold every level that was not kept into one; the level table is capped."""
-    out = frame
-    for column in columns:
-        kept = levels.where(F.col("column") == column).select(F.col("level").alias("_level"))
-        value = F.coalesce(F.col(column), F.lit("unknown"))
-        out = (
-            out.withColumn(column, value)
-            .join(F.broadcast(kept), F.col(column) == F.col("_level"), "left")
-            .withColumn(column, F.coalesce("_level", F.lit(RARE)))
-            .drop("_level")
-        )
-    return out
-
-
 @dataclass
 class Encoder:
-    """Everything learnt from the training rows, applied to any rows."""
+    """Everything learnt from the training rows, applied to any rows.
+
+    Every training level has its own place; the levels stay a table (column, level, place),
+    and the driver holds only their number.
+    """
 
     numeric: list[str]
     text: list[str]
     levels: DataFrame
+    sizes: dict[str, int]
     model: PipelineModel
 
     def apply(self, frame: DataFrame) -> DataFrame:
-        filled = frame.na.fill(0, self.numeric)
-        return self.model.transform(keep_levels(filled, self.levels, self.text)).select(
+        placed = frame.na.fill(0, self.numeric)
+        for column in self.text:
+            known = self.levels.where(F.col("column") == column).select(
+                F.col("level").alias("_level"), F.col("place").alias("_place")
+            )
+            # A level that training did not have takes the place after the last.
+            placed = (
+                placed.withColumn("_level", F.coalesce(F.col(column), F.lit("unknown")))
+                .join(known, "_level", "left")
+                .withColumn(f"{column}__i", F.coalesce("_place", F.lit(self.sizes[column])).cast("double"))
+                .drop("_level", "_place")
+            )
+        return self.model.transform(placed).select(
             *[c for c in frame.columns if c not in {*self.numeric, *self.text}], "features"
         )
 
-    def names(self) -> list[str]:
-        """Feature names in vector order."""
-        out = list(self.numeric)
-        for column, stage in zip(self.text, self.model.stages):
-            out += [f"{column}_{label}" for label in [*stage.labels, "__unseen"]]
-        return out
+    def width(self) -> int:
+        return len(self.numeric) + sum(n + 1 for n in self.sizes.values())
+
+    def names(self) -> DataFrame:
+        """Feature names by their place in the vector: (pos, feature)."""
+        spark = self.levels.sparkSession
+        fixed, offsets, at = [(k, c) for k, c in enumerate(self.numeric)], [], len(self.numeric)
+        for column in self.text:
+            offsets.append(F.when(F.col("column") == column, at))
+            at += self.sizes[column]
+            fixed.append((at, f"{column}___unseen"))
+            at += 1
+        named = spark.createDataFrame(fixed, "pos int, feature string")
+        if not self.text:
+            return named
+        return self.levels.select(
+            (F.coalesce(*offsets) + F.col("place")).cast("int").alias("pos"),
+            F.concat_ws("_", "column", "level").alias("feature"),
+        ).union(named)
 
 
 def fit_encoder(train: DataFrame, columns: list[str] | None = None) -> Encoder:
-    """Most frequent levels one-hot encoded, next to the plain numbers."""
+    """All training levels one-hot encoded, the most frequent first, next to the plain numbers."""
     numeric, text = feature_columns(train, columns)
-    levels = settle(prep.one_hot_levels(train, text, MAX_LEVELS))
-    indexers = [
-        StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep",
-                      stringOrderType="frequencyDesc")
-        for c in text
-    ]
-    encoder = OneHotEncoder(
-        inputCols=[f"{c}__i" for c in text], outputCols=[f"{c}__h" for c in text], dropLast=False
-    )
-    assembler = VectorAssembler(
-        inputCols=[*numeric, *[f"{c}__h" for c in text]], outputCol="features"
-    )
-    model = Pipeline(stages=[*indexers, encoder, assembler]).fit(
-        keep_levels(train.na.fill(0, numeric), levels, text)
+    levels = settle(prep.numbered_levels(train, text))
+    found = {r["column"]: r["n"] for r in levels.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    sizes = {c: found.get(c, 0) for c in text}
+    stages = []
+    if text:
+        encoder = OneHotEncoder(
+            inputCols=[f"{c}__i" for c in text], outputCols=[f"{c}__h" for c in text], dropLast=False
+        )
+        # Fitting only looks for the largest place of a column.
+        largest = train.sparkSession.createDataFrame(
+            [tuple(float(sizes[c]) for c in text)], ", ".join(f"`{c}__i` double" for c in text)
+        )
+        stages.append(encoder.fit(largest))
+    stages.append(
+        VectorAssembler(inputCols=[*numeric, *[f"{c}__h" for c in text]], outputCol="features")
     )
-    return Encoder(numeric, text, levels, model)
+    return Encoder(numeric, text, levels, sizes, PipelineModel(stages=stages))
 
 
 @dataclass
@@ -164,13 +176,6 @@ def auc_of(scores: DataFrame) -> float:
 # --- Explanation ---------------------------------------------------------------------
 
 
-def _ranking(frame: DataFrame, names: list[str], value: str) -> DataFrame:
-    labels = F.array(*[F.lit(n) for n in names])
-    return frame.select(
-        F.element_at(labels, F.col("pos") + 1).alias("feature"), F.col(value).alias("importance")
-    )
-
-
 def linear_shap(prepared: Prepared) -> DataFrame:
     """Mean absolute exact SHAP value per feature of a logistic model.
 
@@ -188,54 +193,51 @@ def linear_shap(prepared: Prepared) -> DataFrame:
         Summarizer.metrics("normL1", "count").summary(F.col("scaled")).alias("s")
     ).select("s.*").first()
     effects = abs(model.coefficients.toArray()) * sizes["normL1"].toArray() / sizes["count"]
-    return prepared.train.sparkSession.createDataFrame(
-        [(n, float(e)) for n, e in zip(prepared.encoder.names(), effects)],
-        "feature string, importance double",
+    sized = prepared.train.sparkSession.createDataFrame(
+        [(k, float(e)) for k, e in enumerate(effects)], "pos int, importance double"
     )
+    return sized.join(prepared.encoder.names(), "pos").select("feature", "importance")
 
 
-def permutation_importance(model, frame: DataFrame, names: list[str]) -> DataFrame:
+def permutation_importance(model, frame: DataFrame, names: DataFrame) -> DataFrame:
     """Mean absolute change of the predicted probability when one feature is swapped.
 
     Each row takes the feature from another row: rows are put into buckets by a
     hash of their id, and inside a bucket each borrows from the next in hash
     order. That is one shuffle for all features, with buckets of even size
     whatever the data looks like. Only features in which the two rows differ can
-    change the score; the others count as no change.
+    change the score; the others count as no change. The untouched score travels with
+    the row, so every row is scored once per feature that differs and once untouched.
     """
     rows = frame.count()
     buckets = max(1, rows // 1000)
     order = F.xxhash64("incident_id", F.lit(7))
     ring = Window.partitionBy("bucket").orderBy("order", "incident_id")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    values = vector_to_array("features")
+    probability = vector_to_array("probability")[1]
     paired = (
-        frame.select("incident_id", values.alias("x"), order.alias("order"))
+        model.transform(frame.select("incident_id", "features"))
+        .select(
+            "incident_id", vector_to_array("features").alias("x"), probability.alias("p0"),
+            order.alias("order"),
+        )
         .withColumn("bucket", F.pmod(F.xxhash64("incident_id", F.lit(11)), F.lit(buckets)))
         .withColumn("donor", F.coalesce(F.lead("x").over(ring), F.first("x").over(whole)))
     )
     indices = F.sequence(F.lit(0), F.size("x") - 1)
     differing = F.filter(indices, lambda i: F.get("x", i) != F.get("donor", i))
-    swapped = paired.select(
-        "incident_id", "x",
-        F.explode(F.concat(F.array(F.lit(-1)), differing)).alias("pos"), "donor",
-    ).select(
-        "incident_id", "pos",
+    swapped = paired.select("x", "p0", F.explode(differing).alias("pos"), "donor").select(
+        "pos", "p0",
         array_to_vector(
             F.transform("x", lambda v, i: F.when(i == F.col("pos"), F.get("donor", i)).otherwise(v))
         ).alias("features"),
     )
-    scored = model.transform(swapped).select(
-        "incident_id", "pos", vector_to_array("probability")[1].alias("p")
+    sums = model.transform(swapped).groupBy("pos").agg(
+        F.sum(F.abs(probability - F.col("p0"))).alias("s")
     )
-    base = scored.where(F.col("pos") == -1).select("incident_id", F.col("p").alias("p0"))
-    change = scored.where(F.col("pos") >= 0).join(base, "incident_id")
-    sums = change.groupBy("pos").agg(F.sum(F.abs(F.col("p") - F.col("p0"))).alias("s"))
-    all_features = frame.sparkSession.range(len(names)).select(F.col("id").cast("int").alias("pos"))
-    means = all_features.join(sums, "pos", "left").select(
-        "pos", (F.coalesce("s", F.lit(0.0)) / F.lit(float(max(rows, 1)))).alias("importance")
+    return names.join(sums, "pos", "left").select(
+        "feature", (F.coalesce("s", F.lit(0.0)) / F.lit(float(max(rows, 1)))).alias("importance")
     )
-    return _ranking(means, names, "importance")
 
 
 # --- Selection and tuning --------------------------------------------------------------
@@ -243,14 +245,11 @@ def permutation_importance(model, frame: DataFrame, names: list[str]) -> DataFra
 
 def select_features(prepared: Prepared, ranking: DataFrame, above: float = 0.005) -> Prepared:
     """Keep the features whose importance exceeds the threshold."""
-    names = prepared.encoder.names()
-    kept_names = {r["feature"] for r in ranking.where(F.col("importance") > above).collect()}
-    if not kept_names:
+    kept = ranking.where(F.col("importance") > above).join(prepared.encoder.names(), "feature")
+    places = sorted(r["pos"] for r in kept.select("pos").collect())
+    if not places:
         raise ValueError(f"no feature has an importance above {above}")
-    slicer = VectorSlicer(
-        inputCol="features", outputCol="kept",
-        indices=[i for i, n in enumerate(names) if n in kept_names],
-    )
+    slicer = VectorSlicer(inputCol="features", outputCol="kept", indices=places)
 
     def cut(frame: DataFrame) -> DataFrame:
         return slicer.transform(frame).select(
@@ -279,8 +278,8 @@ def selection_report(prepared: Prepared, above: float = 0.005, **parameters) ->
         prepared.train.sparkSession,
         {
             "auc_roc_baseline": before, "auc_roc_selected": after, "auc_loss": before - after,
-            "n_features": len(names), "n_features_selected": kept,
-            "pct_feature_reduction": 100 * (1 - kept / len(names)),
+            "n_features": prepared.encoder.width(), "n_features_selected": kept,
+            "pct_feature_reduction": 100 * (1 - kept / prepared.encoder.width()),
         },
     )
 
@@ -324,6 +323,13 @@ def cross_validate(train: DataFrame, folds: int = 5, seed: int = 42, **parameter
     return train.sparkSession.createDataFrame(found, "fold int, tickets bigint, auc double")
 
 
+def selected(prepared: Prepared, above: float = 0.005, **parameters) -> Prepared:
+    """The prepared rows with the features that matter to the fitted trees."""
+    model = fit(prepared.train, **parameters)
+    ranking = settle(permutation_importance(model, prepared.test, prepared.encoder.names()))
+    return select_features(prepared, ranking, above)
+
+
 def cv_summary(scores: DataFrame) -> DataFrame:
     return scores.agg(
         F.avg("auc").alias("cv_auc_mean"), F.stddev_pop("auc").alias("cv_auc_std")

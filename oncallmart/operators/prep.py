@@ -93,6 +93,15 @@ def frequency_encode(frame: DataFrame, fitted: DataFrame, columns: list[str]) ->
     return out
 
 
+def numbered_levels(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """Every level of every column, null counted as 'unknown', with its place by frequency."""
+    counts = _levels(frame, columns, missing="unknown") if columns else frame.sparkSession.createDataFrame(
+        [], "column string, level string, n bigint"
+    )
+    order = Window.partitionBy("column").orderBy(F.desc("n"), "level")
+    return counts.select("column", "level", "n", (F.row_number().over(order) - 1).alias("place"))
+
+
 def one_hot_levels(frame: DataFrame, columns: list[str], cap: int = 50) -> DataFrame:
     """The levels kept per column: the most frequent ones, null counted as 'unknown'.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oncallmart import schema as S
 from oncallmart.models import anomalies, clusters, forecast, records, risk
-from oncallmart.operators import analytics, evaluation, quality, series, silver, star
+from oncallmart.operators import analytics, evaluation, quality, silver, star
 from oncallmart.plans import marts
 from oncallmart.session import settle
 from oncallmart.sources import sinks
@@ -121,13 +121,12 @@ def train_models(spark: SparkSession, layout: Layout, run_id: str, at: str,
     daily = table("ml_forecast_dataset")
 
     sinks.write_output(forecast.forecast_global(daily), out("forecast_d1_d7"), csv=True)
-    held_out = settle(forecast.evaluate_global(daily))
-    errors = series.error_metrics(held_out, "y", "yhat").first()
+    ahead = forecast.backtest_global(daily)
     by_priority = table("ml_base_features").groupBy(
         "prioridade_num", F.col("data_abertura").alias("ds")
     ).agg(F.count("*").alias("y"))
     sinks.write_output(
-        records.forecast_fact(forecast.forecast_groups(by_priority, "prioridade_num")),
+        records.forecast_fact(forecast.forecast_groups(by_priority, "prioridade_num", min_days=1)),
         out("fct_previsoes"),
     )
     teams = analytics.team_daily(table("ml_base_features"))
@@ -159,8 +158,7 @@ def train_models(spark: SparkSession, layout: Layout, run_id: str, at: str,
     sinks.write_output(anomalies.summary(detected), out("anomaly_summary"), csv=True)
 
     measured = {
-        "forecast_d1": {"mape": errors["mape"], "rmse": errors["rmse"], "amostras": errors["n"]},
-        "forecast_d7": {"mape": errors["mape"], "rmse": errors["rmse"], "amostras": errors["n"]},
+        **forecast.horizon_records(ahead),
         "ola_risk": {"auc_roc": risk.auc_of(scores), "amostras": scores.count()},
         "clustering": {"amostras": grouped.clean_rows + grouped.outlier_rows},
     }
@@ -169,11 +167,12 @@ def train_models(spark: SparkSession, layout: Layout, run_id: str, at: str,
         for model, values in measured.items()
     ]
     parts.append(records.record(clusters.quality(grouped), run_id, "clustering", at))
-    quality.union(parts).write.mode("append").parquet(out("run_records"))
+    sinks.write_run(quality.union(parts), out("run_records"))
 
     sinks.write_output(records.model_dimension(spark), out("dim_modelo"))
     filled = records.metrics_fact(
-        records.metrics_skeleton(read_silver(spark, layout)), spark.read.parquet(out("run_records"))
+        records.metrics_skeleton(read_silver(spark, layout)),
+        spark.read.schema(records.RECORD).parquet(out("run_records")),
     )
     sinks.write_output(filled, out("fct_model_metrics"))
     return spark.read.parquet(out("fct_model_metrics"))

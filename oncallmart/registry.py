@@ -68,8 +68,12 @@ def headers_normalised(spark, folder):
 
 @query
 def text_columns(spark, folder):
-    chosen = fixtures.bronze(spark, folder).select("Numero", "Duracao", "Aberto", "Status")
-    return B.as_text(chosen)
+    return B.as_text(fixtures.bronze(spark, folder))
+
+
+@query
+def lost_cells(spark, folder):
+    return B.lost_cells(fixtures.raw_export(spark, folder))
 
 
 @query
@@ -318,7 +322,7 @@ def preview(spark, folder):
 
 @query
 def longest_per_group(spark, folder):
-    chosen = base(spark, folder).where(F.col("grupo_designado").isNotNull()).select(
+    chosen = base(spark, folder).select(
         "grupo_designado", "incident_id", "duracao_segundos", "prioridade_num"
     )
     return A.best_row(chosen, "grupo_designado", "duracao_segundos", "incident_id")
@@ -330,8 +334,8 @@ def completeness(spark, folder):
 
 
 NULLABLE = [
-    "Produto", "Grupo_designado", "Resolvido", "Codigo_de_fechamento", "Incidente_Pai",
-    "KPI_Violado",
+    "Produto", "Categoria", "Subcategoria", "Grupo_designado", "Item_de_configuracao",
+    "Resolvido", "Codigo_de_fechamento", "Solucao", "Incidente_Pai", "KPI_Violado",
 ]
 
 
@@ -342,7 +346,7 @@ def nullity_corr(spark, folder):
 
 CAUSE_NUMBERS = [
     "prioridade_num", "hora_abertura", "dia_semana_num", "fora_horario_comercial",
-    "abriu_fim_de_semana", "mes_abertura", "trimestre", "possui_pai",
+    "abriu_fim_de_semana", "mes_abertura", "trimestre", "possui_pai", "triagem_incompleta",
 ]
 
 
@@ -501,21 +505,28 @@ def business_days(spark, folder):
 
 @query
 def quality_unique(spark, folder):
-    silver = tickets(spark, folder)
+    silver = settle(tickets(spark, folder).select(*star.KEY_SOURCES))
     return Q.star_unique(star.fact_keys(silver), star.dimensions(silver))
 
 
 @query
 def quality_not_null(spark, folder):
-    silver = tickets(spark, folder)
-    return Q.silver_not_null(silver).unionByName(
-        Q.star_not_null(star.fact(silver), star.dimensions(silver))
+    chosen = dict.fromkeys([*Q.CRITICAL, *star.KEY_SOURCES])
+    silver = settle(tickets(spark, folder).select(*chosen))
+    # The keys are never null, because they are made of stand-ins; what they are made of may be.
+    sources = Q.row_rules("silver_keys", silver, [Q.not_null(c) for c in star.KEY_SOURCES])
+    return Q.union(
+        [
+            Q.silver_not_null(silver),
+            Q.star_not_null(star.fact_keys(silver), star.dimensions(silver)),
+            sources,
+        ]
     )
 
 
 @query
 def quality_models(spark, folder):
-    work = base(spark, folder)
+    work = settle(base(spark, folder))
     return Q.model_tests(
         work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
     )
@@ -552,7 +563,7 @@ def quality_job_ranges(spark, folder):
 
 @query
 def table_counts_union(spark, folder):
-    work = base(spark, folder)
+    work = settle(base(spark, folder))
     return Q.table_counts(
         {
             "ml_base_features": work,
@@ -565,7 +576,7 @@ def table_counts_union(spark, folder):
 
 @query
 def scalar_checks(spark, folder):
-    work = base(spark, folder)
+    work = settle(base(spark, folder))
     return Q.key_checks(
         work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
     )
@@ -878,17 +889,27 @@ def forecast_holdout(spark, folder):
 
 @query
 def fct_model_metrics(spark, folder):
-    silver = settle(tickets(spark, folder))
-    daily = settle(marts.forecast_mart(marts.base_features(silver)))
-    errors = R.error_metrics(settle(FC.evaluate_global(daily)), "y", "yhat").first()
-    measured = RK.metric_rows(
-        spark, {"mape": errors["mape"], "rmse": errors["rmse"], "amostras": errors["n"]}
-    )
+    work = settle(base(spark, folder))
+    daily = settle(marts.forecast_mart(work))
+    ready = RK.prepare(marts.sla_mart(work))
+    scores = settle(RK.score(RK.fit(ready.train), ready.test))
+    grouped = CL.run(marts.cluster_mart(work))
+    measured = {
+        **FC.horizon_records(FC.backtest_global(daily)),
+        "ola_risk": {"auc_roc": RK.auc_of(scores), "amostras": scores.count()},
+        "clustering": {"amostras": grouped.clean_rows + grouped.outlier_rows},
+    }
     runs = [
-        REC.record(measured, "run-1", model, "2001-08-01 05:00:00")
-        for model in ("forecast_d1", "forecast_d7")
+        REC.record(RK.metric_rows(spark, values), "run-1", model, "2001-08-01 05:00:00")
+        for model, values in measured.items()
     ]
-    return REC.metrics_fact(REC.metrics_skeleton(silver), Q.union(runs))
+    # The newest day of all tickets, noise included.
+    return REC.metrics_fact(REC.metrics_skeleton(tickets(spark, folder)), Q.union(runs))
+
+
+@query
+def dim_modelo(spark, folder):
+    return REC.model_dimension(spark)
 
 
 @query
@@ -898,7 +919,7 @@ def forecast_team(spark, folder):
 
 @query
 def forecast_rolling_origin(spark, folder):
-    return R.horizon_metrics(FC.rolling_origin(global_daily(spark, folder), yearly=3))
+    return R.horizon_metrics(FC.backtest_global(marts.forecast_mart(base(spark, folder))))
 
 
 @query
@@ -906,7 +927,7 @@ def fct_previsoes(spark, folder):
     daily = base(spark, folder).groupBy("prioridade_num", F.col("data_abertura").alias("ds")).agg(
         F.count("*").alias("y")
     )
-    return REC.forecast_fact(FC.forecast_groups(daily, "prioridade_num"))
+    return REC.forecast_fact(FC.forecast_groups(daily, "prioridade_num", min_days=1))
 
 
 @query
@@ -920,6 +941,12 @@ def importance(spark, folder):
     return RK.linear_shap(RK.prepare(marts.sla_mart(base(spark, folder))))
 
 
+@query
+def permutation_importance(spark, folder):
+    ready = RK.prepare(marts.sla_mart(base(spark, folder)))
+    return RK.permutation_importance(RK.fit(ready.train), ready.test, ready.encoder.names())
+
+
 @query
 def feature_selection(spark, folder):
     return RK.selection_report(RK.prepare(marts.sla_mart(base(spark, folder))))
@@ -964,4 +991,86 @@ def iso_forest_summary(spark, folder):
 @query
 def cv_scores(spark, folder):
     ready = RK.prepare(marts.sla_mart(base(spark, folder)))
-    return RK.cross_validate(ready.train)
+    return RK.cross_validate(RK.selected(ready).train)
+
+
+@query
+def cv_summary(spark, folder):
+    ready = RK.prepare(marts.sla_mart(base(spark, folder)))
+    return RK.cv_summary(RK.cross_validate(RK.selected(ready).train))
+
+
+# --- What every run of a model must keep, whatever it learns -------------------------------------
+
+
+@query
+def risk_split_counts(spark, folder):
+    """Tickets by split and class, after encoding."""
+    ready = RK.prepare(marts.sla_mart(base(spark, folder)))
+    both = ready.train.withColumn("is_test", F.lit(False)).unionByName(
+        ready.test.withColumn("is_test", F.lit(True))
+    )
+    return both.groupBy("is_test", F.col("label").cast("int").alias("label")).agg(
+        F.count("*").alias("tickets")
+    )
+
+
+@query
+def risk_width(spark, folder):
+    """Feature columns of each text column: its training levels and one for unseen ones."""
+    encoder = RK.fit_encoder(marts.sla_mart(base(spark, folder)))
+    levels = encoder.levels.groupBy("column").agg((F.count("*") + 1).alias("features"))
+    return levels
+
+
+@query
+def iso_forest_counts(spark, folder):
+    """Every ticket is scored, and no more than a twentieth is flagged."""
+    found = AN.detect(marts.cluster_mart(base(spark, folder)))
+    flagged = F.count_if(F.col("anomaly") == -1)
+    return found.agg(
+        F.count("*").alias("tickets"), F.count("anomaly_score").alias("scored"),
+        (flagged <= F.ceil(F.count("*") * 0.05)).alias("within_share"),
+    )
+
+
+@query
+def cluster_counts(spark, folder):
+    """Every ticket has one of the four labels."""
+    made = CL.run(marts.cluster_mart(base(spark, folder))).assignments
+    return made.agg(
+        F.count("*").alias("tickets"), F.count_distinct("incident_id").alias("incidents"),
+        F.count_distinct("cluster_label").alias("labels"),
+        F.count_if(F.col("cluster_label").isNull()).alias("unlabelled"),
+    )
+
+
+@query
+def record_latest(spark, folder):
+    """Latest value of two runs' records of the daily volume."""
+    daily = marts.forecast_mart(base(spark, folder))
+    total = daily.agg(F.sum("total_chamados").cast("double").alias("value"))
+    runs = [
+        REC.record(
+            total.select(F.lit("amostras").alias("metric"), (F.col("value") * k).alias("value")),
+            f"run-{k}", "forecast_d1", f"2001-08-0{k} 05:00:00",
+        )
+        for k in (1, 2)
+    ]
+    return REC.latest(Q.union(runs)).select("model", "name", "value")
+
+
+@query
+def schema_differences(spark, folder):
+    """Columns that Bronze lacks or has beyond its declaration, without and with one cut."""
+    frame = fixtures.bronze(spark, folder)
+    parts = []
+    for source, made in (("bronze", frame), ("cut", frame.drop("Status").withColumn("extra", F.lit(1)))):
+        missing, extra = Q.column_differences(made, S.BRONZE.names)
+        parts.append(
+            made.agg(F.count("*").alias("tickets")).select(
+                F.lit(source).alias("source"), "tickets",
+                F.lit(",".join(missing)).alias("missing"), F.lit(",".join(extra)).alias("extra"),
+            )
+        )
+    return Q.union(parts)

@@ -23,17 +23,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Rows of a source with fewer splits than cores, dealt out over all cores.
-
-    A source that small is cheap to shuffle; a larger one is returned as it is.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
-        return frame
-    return frame.repartition(cores, key)
-
-
 def bronze(spark: SparkSession, folder: str) -> DataFrame:
     """One ticket per order, enriched from its customer and its lines.
 
@@ -41,7 +30,7 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
     knows the key is unique and drops the join, scan and shuffle altogether when
     a query uses none of its columns.
     """
-    orders = spread(table(spark, folder, "orders"), "o_orderkey")
+    orders = table(spark, folder, "orders")
     lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("part_key"), F.min("l_suppkey").alias("supp_key")
     )
@@ -100,12 +89,18 @@ TICKET = [
 
 
 def raw_export(spark: SparkSession, folder: str) -> DataFrame:
-    """The same tickets as a raw text export: accented headers, some bad cells."""
+    """The same tickets as a raw text export: accented headers, cells that cannot be read
+    (`n/d`, `pendente`), decimal and exponent numbers, and dates in the other listed forms."""
     tickets = bronze(spark, folder)
     number = F.substring("Numero", 4, 9).cast("bigint")
+    text = F.col("Duracao").cast("string")
     broken = {
-        "Duracao": F.when(number % 13 == 0, "n/d"),
-        "Resolvido": F.when(number % 17 == 0, "pendente"),
+        "Duracao": F.when(number % 13 == 0, "n/d")
+        .when(number % 13 == 1, F.concat(text, F.lit(".0")))
+        .when(number % 13 == 2, F.concat(text, F.lit("0e-1"))),
+        "Resolvido": F.when(number % 17 == 0, "pendente")
+        .when(number % 17 == 1, F.date_format("Resolvido", "dd/MM/yyyy HH:mm:ss"))
+        .when(number % 17 == 2, F.date_format("Resolvido", "dd-MM-yyyy HH:mm:ss")),
     }
     cells = []
     for header, name in S.RAW_HEADERS.items():

@@ -19,6 +19,7 @@ class ExportFailed(Exception):
 class Written:
     path: str
     rows: int
+    months: tuple[str, ...] = ()
 
 
 def _observed(frame: DataFrame) -> tuple[DataFrame, Observation]:
@@ -33,19 +34,26 @@ def write_monthly(frame: DataFrame, path: str, month: str = "Ano_Mes") -> Writte
     Rebalancing by month gives each month few files of even size: small months
     share a task and a month that holds much of the data is split over several.
     """
-    counted, seen = _observed(frame.hint("rebalance", month))
+    seen = Observation()
+    counted = frame.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(month).cast("string")).alias("months")
+    ).hint("rebalance", month)
     (
         counted.write.partitionBy(month)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
     )
-    return Written(path, seen.get["rows"])
+    return Written(path, seen.get["rows"], tuple(sorted(seen.get["months"])))
 
 
 def verify_monthly(spark: SparkSession, written: Written, month: str = "Ano_Mes") -> DataFrame:
-    """Read back and compare the count; returns rows per month."""
-    months = spark.read.parquet(written.path).groupBy(month).agg(F.count("*").alias("tickets"))
+    """Read back the months that were written and compare the count; other months of the
+    folder, from earlier loads, are not looked at. Returns rows per month."""
+    kept = spark.read.parquet(written.path).where(
+        F.col(month).cast("string").isin(list(written.months))
+    )
+    months = kept.groupBy(month).agg(F.count("*").alias("tickets"))
     found = months.agg(F.sum("tickets")).first()[0] or 0
     if found != written.rows:
         raise LoadMismatch(f"{written.path}: wrote {written.rows} rows, found {found}")
@@ -68,7 +76,7 @@ def publish(frame: DataFrame, path: str, batch_time: str) -> Written:
 def publish_jdbc(frame: DataFrame, url: str, table: str, batch_time: str,
                  properties: dict[str, str], batch: int = 10_000, writers: int = 8) -> int:
     """Truncate and load a database table over at most `writers` connections."""
-    counted, seen = _observed(with_audit(frame, batch_time).coalesce(writers))
+    counted, seen = _observed(with_audit(frame, batch_time).repartition(writers))
     (
         counted.write.format("jdbc")
         .options(url=url, dbtable=table, truncate="true", batchsize=str(batch), **properties)
@@ -83,6 +91,16 @@ def verify(spark: SparkSession, written: Written) -> bool:
     return spark.read.parquet(written.path).count() == written.rows
 
 
+def write_run(records: DataFrame, path: str) -> None:
+    """Store the records of runs; the same run again replaces its records."""
+    (
+        records.write.partitionBy("run_id")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )
+
+
 def write_output(frame: DataFrame, path: str, csv: bool = False) -> None:
     """A model output as Parquet, and as CSV next to it when asked for."""
     frame.write.mode("overwrite").parquet(path)

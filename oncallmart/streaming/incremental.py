@@ -1,6 +1,6 @@
 """Bronze files in, Silver months out, each file once.
 
-The reference schedule is a daily batch. Run with `available_now` this is that
+The daily schedule is a daily batch. Run with `available_now` this is that
 batch without rereading old files; the rules are those of the batch job because
 they are the same function, applied to rows without state.
 """

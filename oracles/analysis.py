@@ -121,7 +121,7 @@ ORDER BY 2 DESC, 1 LIMIT 15""")
 add("preview", SILVER, """SELECT "Numero", "Prioridade", "Aberto", "Status" FROM silver
 ORDER BY "Aberto", "Numero" LIMIT 10""")
 add("longest_per_group", BASE, """SELECT grupo_designado, incident_id, duracao_segundos,
-  prioridade_num FROM base WHERE grupo_designado IS NOT NULL
+  prioridade_num FROM base
 QUALIFY row_number() OVER (PARTITION BY grupo_designado
   ORDER BY duracao_segundos DESC, incident_id DESC) = 1""")
 
@@ -146,10 +146,10 @@ def corr_pairs(columns, cell, source):
 
 
 add("nullity_corr", BRONZE, corr_pairs(
-    ["Produto", "Grupo_designado", "Resolvido", "Codigo_de_fechamento", "Incidente_Pai",
-     "KPI_Violado"], 'CASE WHEN "{c}" IS NULL THEN 1.0::DOUBLE ELSE 0.0 END', "bronze"))
+    ["Produto", "Categoria", "Subcategoria", "Grupo_designado", "Item_de_configuracao",
+     "Resolvido", "Codigo_de_fechamento", "Solucao", "Incidente_Pai", "KPI_Violado"], 'CASE WHEN "{c}" IS NULL THEN 1.0::DOUBLE ELSE 0.0 END', "bronze"))
 CAUSES = ["prioridade_num", "hora_abertura", "dia_semana_num", "fora_horario_comercial",
-          "abriu_fim_de_semana", "mes_abertura", "trimestre", "possui_pai"]
+          "abriu_fim_de_semana", "mes_abertura", "trimestre", "possui_pai", "triagem_incompleta"]
 add("numeric_corr", BASE, corr_pairs(CAUSES, "{c}::DOUBLE", "base"))
 add("duration_summary", BASE, " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count({c}) AS n, min({c}) AS min, max({c}) AS max,
@@ -306,11 +306,15 @@ def union(parts):
 add("quality_unique", DIMS, union(
     [unique_row(d, d, f"{d}_sk") for d in DIM_NAMES]
     + [unique_row("fct_incidents", "fct", "incident_sk")]))
+KEY_SOURCES = ["Numero", "Produto", "Categoria", "Subcategoria", "Grupo_designado",
+               "Data_Abertura", "Status", "Codigo_de_fechamento", "Entrou_para_KPI", "Prioridade",
+               "Prioridade_Num", "Aberto"]
 add("quality_not_null", DIMS, union(
     [null_row("silver", "silver", c) for c in (
         "Numero", "Prioridade_Num", "Duracao_Horas", "Target_Risco_SLA", "Data_Abertura")]
     + [null_row(d, d, f"{d}_sk") for d in DIM_NAMES]
-    + [null_row("fct_incidents", "fct", "incident_sk")]))
+    + [null_row("fct_incidents", "fct", "incident_sk")]
+    + [null_row("silver_keys", "silver", c) for c in KEY_SOURCES]))
 add("quality_models", DAILY, union([
     unique_row("ml_base_features", "base", "incident_id"),
     null_row("ml_base_features", "base", "incident_id"),
@@ -604,3 +608,27 @@ add("fct_ola_risk", DIMS + SCORED[len(SILVER):], """SELECT incident_id, label AS
   CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS y_pred, score AS y_pred_proba, f.incident_sk,
   f.dim_tempo_sk, f.dim_grupo_sk, f.dim_prioridade_sk
 FROM scored JOIN fct f USING (incident_id)""")
+
+add("dim_modelo", BRONZE, """SELECT md5(modelo_tipo) AS dim_modelo_sk, * FROM (VALUES
+  ('forecast_d1', 'Seasonal regression', 'Volume diário'),
+  ('forecast_d7', 'Seasonal regression', 'Volume diário'),
+  ('ola_risk', 'Gradient-boosted trees', 'Tempo excedido (0/1)'),
+  ('clustering', 'K-means (k=4)', 'Cluster A/B/C/D')) v(modelo_tipo, algoritmo, alvo)""")
+add("risk_split_counts", BASE, """SELECT is_test, label, count(*) AS tickets FROM (
+  SELECT excedeu_tempo_esperado AS label,
+    row_number() OVER (PARTITION BY excedeu_tempo_esperado
+      ORDER BY md5(incident_id || '#42'), incident_id)
+      <= round(count(*) OVER (PARTITION BY excedeu_tempo_esperado) * 0.2) AS is_test FROM base)
+GROUP BY 1, 2""")
+add("risk_width", BASE, union(
+    f"""SELECT '{c}' AS "column", count(DISTINCT coalesce({c}, 'unknown')) + 1 AS features FROM base"""
+    for c in ("grupo_designado", "categoria", "subcategoria", "turno_abertura")))
+add("iso_forest_counts", BASE, """SELECT count(*) AS tickets, count(*) AS scored,
+  true AS within_share FROM base""")
+add("cluster_counts", BASE, """SELECT count(*) AS tickets, count(DISTINCT incident_id) AS incidents,
+  4::BIGINT AS labels, 0::BIGINT AS unlabelled FROM base""")
+add("record_latest", BASE, """SELECT 'forecast_d1' AS model, 'amostras' AS name,
+  2.0::DOUBLE * count(*) AS value FROM base""")
+add("schema_differences", BRONZE, """SELECT 'bronze' AS source, count(*) AS tickets,
+  '' AS missing, '' AS extra FROM bronze
+UNION ALL SELECT 'cut', count(*), 'Status', 'extra' FROM bronze""")

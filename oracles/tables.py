@@ -117,8 +117,15 @@ QUERIES = {
           AS "Duracao",
         CASE WHEN CAST(substr("Numero", 4) AS BIGINT) % 17 = 0 THEN NULL ELSE "Resolvido" END
           AS "Resolvido") FROM bronze"""),
-    "text_columns": query(BRONZE, """SELECT "Numero", CAST("Duracao" AS VARCHAR) AS "Duracao",
-        CAST("Aberto" AS VARCHAR) AS "Aberto", "Status" FROM bronze"""),
+    "text_columns": query(BRONZE, """SELECT * REPLACE (CAST("Duracao" AS VARCHAR) AS "Duracao",
+        CAST("Aberto" AS VARCHAR) AS "Aberto", CAST("Resolvido" AS VARCHAR) AS "Resolvido",
+        CAST("Encerrado" AS VARCHAR) AS "Encerrado") FROM bronze"""),
+    "lost_cells": query(BRONZE, """SELECT * FROM (VALUES
+        ('Aberto', 0::BIGINT), ('Encerrado', 0::BIGINT)) v("column", lost)
+        UNION ALL SELECT 'Resolvido', count(*) FROM bronze
+          WHERE CAST(substr("Numero", 4) AS BIGINT) % 17 = 0
+        UNION ALL SELECT 'Duracao', count(*) FROM bronze
+          WHERE CAST(substr("Numero", 4) AS BIGINT) % 13 = 0"""),
     "silver_canonical": query(SILVER, """SELECT * FROM silver
         WHERE "Status" <> 'Sem Intervenção' AND "Aberto" >= TIMESTAMP '1999-01-01'"""),
     "silver_job_profile": query(JOB, """SELECT * FROM job2

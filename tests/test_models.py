@@ -21,6 +21,10 @@ def model(ready):
     return risk.fit(ready.train, trees=5)
 
 
+def names_of(ready):
+    return [r["feature"] for r in ready.encoder.names().orderBy("pos").collect()]
+
+
 def test_outcome_columns_are_refused(base):
     with pytest.raises(risk.Leak):
         risk.feature_columns(marts.sla_mart(base), ["prioridade_num", "duracao_horas"])
@@ -38,10 +42,19 @@ def test_encoder_knows_only_training_levels(spark):
     encoder = risk.fit_encoder(train, ["grupo", "x"])
     test = spark.createDataFrame([("new", 1.0), (None, None)], "grupo string, x double")
     vectors = [r["features"].toArray() for r in encoder.apply(test).collect()]
-    assert len(encoder.names()) == len(vectors[0])
+    assert encoder.names().count() == encoder.width() == len(vectors[0])
     assert sum(v[1:].sum() for v in vectors) <= 2 and {v[0] for v in vectors} == {0.0, 1.0}
 
 
+def test_every_level_has_its_own_place(spark):
+    train = spark.range(3000).select(F.concat(F.lit("g"), F.col("id") % 1500).alias("grupo"))
+    encoder = risk.fit_encoder(train, ["grupo"])
+    names = [r["feature"] for r in encoder.names().orderBy("pos").collect()]
+    assert len(names) == len(set(names)) == encoder.width() == 1501
+    sums = np.sum([r["features"].toArray() for r in encoder.apply(train.limit(200)).collect()], axis=0)
+    assert sums[-1] == 0 and sums.sum() == 200
+
+
 def test_scores_separate_the_classes(model, ready):
     scores = risk.score(model, ready.test)
     assert scores.columns == ["incident_id", "y_real", "y_pred", "y_pred_proba"]
@@ -50,19 +63,18 @@ def test_scores_separate_the_classes(model, ready):
 
 
 def test_importance_ranks_priority_first(model, ready):
-    names = ready.encoder.names()
-    ranking = risk.permutation_importance(model, ready.test, names)
-    assert ranking.count() == len(names)
+    ranking = risk.permutation_importance(model, ready.test, ready.encoder.names())
+    assert ranking.count() == ready.encoder.width()
     assert ranking.orderBy(F.desc("importance")).first()["feature"] == "prioridade_num"
     assert risk.linear_shap(ready).orderBy(F.desc("importance")).first()["feature"] == "prioridade_num"
 
 
 def test_permutation_importance_against_brute_force(model, ready):
     """The same ring of donors, swapped one feature at a time in plain numpy."""
-    names = ready.encoder.names()
+    names = names_of(ready)
     got = {
         r["feature"]: r["importance"]
-        for r in risk.permutation_importance(model, ready.test, names).collect()
+        for r in risk.permutation_importance(model, ready.test, ready.encoder.names()).collect()
     }
     rows = ready.test.select(
         "incident_id", "features", F.xxhash64("incident_id", F.lit(7)).alias("o")
@@ -81,7 +93,7 @@ def test_permutation_importance_against_brute_force(model, ready):
 
 
 def test_selection_keeps_the_named_features(spark, ready):
-    names = ready.encoder.names()
+    names = names_of(ready)
     ranking = spark.createDataFrame(
         [(n, 1.0 if n == "prioridade_num" else 0.0) for n in names], "feature string, importance double"
     )
@@ -160,6 +172,22 @@ def test_isolated_rows_are_found(spark):
     assert (found["incident_id"] < "i0020").mean() > 0.9
 
 
+def test_open_tickets_are_scored(spark):
+    frame = spark.range(400).select(
+        F.concat(F.lit("i"), F.col("id")).alias("incident_id"), F.rand(3).alias("a"),
+        F.when(F.col("id") % 4 > 0, F.rand(4)).alias("b"),
+    )
+    found = anomalies.detect(frame, 0.05, ["a", "b"])
+    assert found.count() == 400 and found.where("anomaly_score is null").count() == 0
+
+
+def test_draw_stays_thin_on_many_rows(spark):
+    points = spark.range(400_000).select(F.col("id").cast("string").alias("incident_id"), F.array(F.lit(1.0)).alias("x"))
+    drawn = anomalies.samples(points, 400_000, trees=4, size=32)
+    assert [r["count"] for r in drawn.groupBy("tree").count().collect()] == [32] * 4
+    assert drawn.select("incident_id").distinct().count() == 128
+
+
 def test_samples_have_the_asked_size(spark):
     points = spark.range(5000).select(
         F.concat(F.lit("i"), F.col("id")).alias("incident_id"), F.array(F.rand(1)).alias("x")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from oncallmart import registry
 from oncallmart import schema as S
+from oncallmart.models import records, risk
 from oncallmart.operators import quality, silver
 from oncallmart.plans import pipeline
 from oncallmart.sources import bronze, fixtures, sinks
@@ -51,7 +52,33 @@ def test_rewriting_a_month_leaves_the_others(spark, tickets, tmp_path):
 def test_mismatch_is_reported(spark, tickets, tmp_path):
     written = sinks.write_monthly(silver.silver(tickets), str(tmp_path / "s"))
     with pytest.raises(sinks.LoadMismatch):
-        sinks.verify_monthly(spark, sinks.Written(written.path, written.rows + 1))
+        sinks.verify_monthly(spark, sinks.Written(written.path, written.rows + 1, written.months))
+
+
+def test_loads_with_moving_start_dates(spark, tickets, tmp_path):
+    layout = pipeline.Layout(str(tmp_path))
+    first = pipeline.load_silver(tickets, layout, "1996-01-01").count()
+    pipeline.load_silver(tickets, layout, "1998-03-01")
+    again = pipeline.load_silver(tickets, layout, "1998-03-01").count()
+    assert again == first == tickets.where("Aberto >= date '1996-01-01'").count()
+
+
+def test_a_start_inside_a_month_replaces_that_month(spark, tickets, tmp_path):
+    layout = pipeline.Layout(str(tmp_path))
+    pipeline.load_silver(tickets, layout, "1998-03-15")
+    written = sinks.write_monthly(
+        silver.silver(silver.since(tickets, "1998-03-01")), layout.path("silver", "incidents")
+    )
+    assert sinks.verify_monthly(spark, written).agg(F.sum("tickets")).first()[0] == written.rows
+
+
+def test_run_records_are_replaced_by_a_rerun(spark, tmp_path):
+    path = str(tmp_path / "records")
+    for run_id, value in (("r1", 0.5), ("r2", 0.4), ("r2", 0.3)):
+        rows = records.record(risk.metric_rows(spark, {"mape": value}), run_id, "forecast_d1", AT)
+        sinks.write_run(rows, path)
+    found = {r["run_id"]: r["value"] for r in spark.read.parquet(path).collect()}
+    assert found == {"r1": 0.5, "r2": 0.3} and spark.read.parquet(path).count() == 2
 
 
 def test_publish_is_repeatable(spark, tickets, tmp_path):
