@@ -38,7 +38,7 @@ def host_rules(rules: list[tuple[str, str]]) -> list[tuple]:
         # The last token of the path may be the start of a longer one in the url.
         inner = re.findall(TOKEN, path.lower()) if rule.endswith("/") else re.findall(TOKEN, path.lower())[:-1]
         tokens = sorted({*re.findall(TOKEN, host.lower()), *inner})
-        out.append((rule, verdict, rf"(?s)^(?:.*\.)?{re.escape(host.lower())}{re.escape(slash + path)}", tokens, True))
+        out.append((rule, verdict, rf"^(?:[^/]*\.)?{re.escape(host.lower())}{re.escape(slash + path)}", tokens, True))
     return out
 
 

@@ -7,7 +7,7 @@ from oncallmart.llm import quality as Q
 
 
 def test_held_out_accuracy(spark, small):
-    documents, labels = (spark.read.parquet(f"{small[:-3]}.1/{t}.parquet") for t in ("documents", "labels"))
+    documents, labels = (spark.read.parquet(f"{small.replace('0.001', '0.1')}/{t}.parquet") for t in ("documents", "labels"))
     marked = {r.doc_id: r.quality for r in labels.collect()}
     rows = [r for r in Q.score_documents(documents, labels).collect()]
     assert len(rows) == documents.count()
