@@ -119,6 +119,13 @@ KEY_SOURCES = [
 ]
 
 
+# What the whole fact needs besides.
+FACT_SOURCES = [
+    *KEY_SOURCES, "Duracao_Horas", "Duracao", "KPI_Status_Int", "Target_Risco_SLA",
+    "Exige_Intervencao", "Possui_Pai", "Resolvido", "Incidente_Pai", "Encerrado",
+]
+
+
 def _keys() -> list[Column]:
     def key(name: str, *sources: str) -> Column:
         return X.surrogate_key(*[F.col(s) for s in sources]).alias(name)
@@ -201,7 +208,12 @@ def star_join(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """
     out = facts
     taken = set(facts.columns)
-    for name, dim in joinable(dims).items():
+    # The dimension of opening times has about as many rows as the fact; it comes last, so
+    # the joins before it move rows without its attributes.
+    parts = joinable(dims)
+    ordered = [n for n in parts if n != "dim_abertura"] + ["dim_abertura"]
+    for name in ordered:
+        dim = parts[name]
         key = f"{name}_sk"
         renamed = dim.select(
             key,

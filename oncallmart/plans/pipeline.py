@@ -9,7 +9,7 @@ from oncallmart import schema as S
 from oncallmart.models import anomalies, clusters, forecast, records, risk
 from oncallmart.operators import analytics, evaluation, quality, silver, star
 from oncallmart.plans import marts
-from oncallmart.session import settle
+from oncallmart.session import discard_settled, settle, settled
 from oncallmart.sources import sinks
 
 
@@ -180,13 +180,18 @@ def train_models(spark: SparkSession, layout: Layout, run_id: str, at: str,
 
 def run(bronze: DataFrame, layout: Layout, min_date: str, run_id: str, at: str,
         **training) -> DataFrame:
-    """The whole day: Silver, Gold, checks, models. Returns the violated rules."""
+    """The whole day: Silver, Gold, checks, models. Returns the violated rules.
+
+    Stored intermediate copies of the session are deleted at the end.
+    """
     spark = bronze.sparkSession
+    before = settled(spark)
     load_silver(bronze, layout, min_date)
     export_gold(spark, layout)
     checks = check_gold(spark, layout)
     sinks.write_output(checks, layout.path("gold", "quality_results"))
     train_models(spark, layout, run_id, at, **training)
+    discard_settled(spark, keep=before)
     return spark.read.parquet(layout.path("gold", "quality_results")).where(
         F.col("violations") > 0
     )

@@ -53,6 +53,13 @@ def base(spark: SparkSession, folder: str) -> DataFrame:
     return marts.base_features(tickets(spark, folder))
 
 
+# Columns of the feature table that no mart uses; left out of stored copies.
+FREE_TEXT = [
+    "incidente_pai", "aberto_por", "prioridade", "item_configuracao", "status", "entrou_kpi",
+    "kpi_violado",
+]
+
+
 # --- Bronze and Silver --------------------------------------------------------
 
 
@@ -188,7 +195,7 @@ def fct_incidents(spark, folder):
 
 @query
 def star_join(spark, folder):
-    silver = settle(tickets(spark, folder))
+    silver = settle(tickets(spark, folder).select(*star.FACT_SOURCES))
     return star.star_join(star.fact(silver), star.dimensions(silver))
 
 
@@ -526,7 +533,7 @@ def quality_not_null(spark, folder):
 
 @query
 def quality_models(spark, folder):
-    work = settle(base(spark, folder))
+    work = settle(base(spark, folder).drop(*FREE_TEXT))
     return Q.model_tests(
         work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
     )
@@ -563,7 +570,7 @@ def quality_job_ranges(spark, folder):
 
 @query
 def table_counts_union(spark, folder):
-    work = settle(base(spark, folder))
+    work = settle(base(spark, folder).drop(*FREE_TEXT))
     return Q.table_counts(
         {
             "ml_base_features": work,
@@ -576,7 +583,7 @@ def table_counts_union(spark, folder):
 
 @query
 def scalar_checks(spark, folder):
-    work = settle(base(spark, folder))
+    work = settle(base(spark, folder).drop(*FREE_TEXT))
     return Q.key_checks(
         work, marts.forecast_mart(work), marts.sla_mart(work), marts.cluster_mart(work)
     )
@@ -822,7 +829,9 @@ def cluster_balance(spark, folder):
 
 @query
 def effect_join(spark, folder):
-    mart = settle(labelled(spark, folder))
+    mart = settle(
+        labelled(spark, folder).select("incident_id", "cluster_label", *S.EFFECT_COLUMNS)
+    )
     assigned = mart.select("incident_id", "cluster_label")
     return A.with_effects(assigned, mart)
 
@@ -889,7 +898,7 @@ def forecast_holdout(spark, folder):
 
 @query
 def fct_model_metrics(spark, folder):
-    work = settle(base(spark, folder))
+    work = settle(base(spark, folder).drop(*FREE_TEXT))
     daily = settle(marts.forecast_mart(work))
     ready = RK.prepare(marts.sla_mart(work))
     scores = settle(RK.score(RK.fit(ready.train), ready.test))

@@ -57,6 +57,27 @@ def use_shared_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+# Folders of stored copies, by application.
+_settled: dict[str, list[str]] = {}
+
+
+def settled(spark: SparkSession) -> int:
+    """How many stored copies this application has made and not discarded."""
+    return len(_settled.get(spark.sparkContext.applicationId, []))
+
+
+def discard_settled(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the stored copies that this application made after the first `keep`; frames
+    read from them end here. Returns their number."""
+    own = _settled.get(spark.sparkContext.applicationId, [])
+    paths, own[keep:] = own[keep:], []
+    configuration = spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(configuration).delete(place, True)
+    return len(paths)
+
+
 def settle(frame: DataFrame) -> DataFrame:
     """Store a frame that several jobs will read, and read it back.
 
@@ -67,6 +88,7 @@ def settle(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     use_shared_checkpoints(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/settled-{uuid.uuid4().hex}"
+    _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -65,3 +65,25 @@ def test_series_are_shuffled_once(spark, base):
 
     text = plan(forecast.holdout_by_group(analytics.team_daily(base)))
     assert text.count("Exchange hashpartitioning") == 2  # by (team, day), then by team
+
+
+@pytest.mark.parametrize(
+    "name", ["quality_unique", "quality_not_null", "quality_models", "table_counts_union", "scalar_checks"]
+)
+def test_checks_scan_the_source_once(spark, small, name):
+    """The stored copy is written by one scan of the source; the checks read only the copy."""
+    made = registry.QUERIES[name](spark, small)
+    made.collect()
+    text = made._jdf.queryExecution().executedPlan().toString()
+    assert "orders.parquet" not in text and "settled-" in text
+
+
+def test_settled_copies_can_be_discarded(spark, tmp_path):
+    from pathlib import Path
+
+    from oncallmart import session
+
+    before = session.settled(spark)
+    copy = session.settle(spark.range(3).toDF("x"))
+    folder = Path(copy.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists() and session.discard_settled(spark, before) == 1 and not folder.exists()

@@ -276,3 +276,19 @@ def test_score_stays_in_range(base):
         F.min("score_risco_operacional"), F.max("score_risco_operacional")
     ).first()
     assert 0 <= low <= high <= 8
+
+
+def test_cells_in_other_forms_are_read(spark):
+    raw = spark.createDataFrame(
+        [("INC1", "3600.0", "02/01/2025 10:00"), ("INC2", "1.5e3", "02-01-2025 10:00:30"),
+         ("INC3", "12.5", "2025-01-02 10:00:00"), ("INC4", "n/d", "amanhã"), ("INC5", "", None),
+         ("INC6", "9000000000.00", "31/12/2024")],
+        "`Número` string, `Duração` string, `Aberto` string",
+    )
+    rows = {r["Numero"]: r for r in bronze.load_export(raw).collect()}
+    assert [rows[f"INC{k}"]["Duracao"] for k in range(1, 7)] == [3600, 1500, 13, None, None, 9000000000]
+    assert rows["INC1"]["Aberto"] == datetime(2025, 1, 2, 10, 0)
+    assert rows["INC2"]["Aberto"] == datetime(2025, 1, 2, 10, 0, 30)
+    assert rows["INC6"]["Aberto"] == datetime(2024, 12, 31)
+    lost = {r["column"]: r["lost"] for r in bronze.lost_cells(raw).collect()}
+    assert lost == {"Duracao": 1, "Aberto": 1}
