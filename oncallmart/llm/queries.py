@@ -20,7 +20,12 @@ from oncallmart.llm import (
 from oncallmart.session import tune
 
 
+# Rows of whole texts in one batch that goes to Python.
+BATCH_ROWS = "2000"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
