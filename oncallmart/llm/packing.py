@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_right, insort
 
 import numpy as np
@@ -36,49 +37,66 @@ BLOCK = 4000
 FILL_NODES, TAIL_NODES, TAIL = 400, 4000, 40
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PLACED = f"{PIECES}, row bigint, sequence_id bigint, offset bigint, full boolean"
-# The tokenizer puts these boundaries into a text by itself, so a space there changes nothing
-# and makes words repeat more often.
-STOPS = re.compile(rb"(?<=[a-z0-9])([.,]+)(?=[\x20\x09-\x0D]|$)")
+# Fixed values, as the tokenizer file has them: how it cuts a word, here for words of ASCII and
+# lower-case Latin-1 letters only; the characters that stand for bytes by themselves.
+PLAIN = re.compile(r"[!-@\[-~ß-öø-ÿ]+")
+CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+# All other bytes stand as the characters from 256 on, in order.
+SHOWN = {x: chr(x) for x in PRINTED} | {
+    x: chr(256 + k) for k, x in enumerate(x for x in range(256) if x not in PRINTED)
+}
 
 
 class Ids:
-    """Ids of texts as little-endian 32-bit bytes, word by word."""
+    """Ids of texts as little-endian 32-bit bytes, word by word.
+
+    The tokenizer drops white space and treats words apart, so a word's ids are worked out
+    once and remembered. A plain word is cut as the tokenizer would, and its parts go to the
+    merges directly; any other word goes through the whole tokenizer.
+    """
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.known = W.Remembered()
-        self.known.work = lambda word: self.encode([word])[0]
+        self.model = self.tokenizer.model
+        self.parts = W.Remembered(self.part, 200_000)
+        self.words = W.Remembered(self.word, 200_000)
+
+    def part(self, text: str) -> bytes:
+        shown = text.encode().decode("latin-1").translate(SHOWN)
+        return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join([self.parts[x] for x in CUT.findall(text)])
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [
-            # A special token's text is told by its case, so these keep theirs.
-            (t or b"").split() if b"<|" in (t or b"") else STOPS.sub(rb" \1", (t or b"").lower()).split()
-            for t in texts
-        ]
-        new = list({w for words in split for w in words if w not in self.known and w not in self.known.older})
-        fresh = dict(zip(new, self.encode(new), strict=True))
-        for word, ids in fresh.items():
-            if len(word) <= 64:
-                self.known.put(word, ids)
-        known = self.known
-
-        def of(word):
-            ids = fresh.get(word)
-            return known[word] if ids is None else ids
-
-        closing = np.array([CLOSING], "<u4").tobytes()
-        return [b"".join(map(of, words)) + closing for words in split]
+        closing, out = array("I", [CLOSING]).tobytes(), []
+        for text in texts:
+            text = text or b""
+            # A special token's text is told by its case, so a text with one keeps its own.
+            words = (text if b"<|" in text else text.lower()).split()
+            out.append(b"".join(map(self.words.__getitem__, words)) + closing)
+        return out
+
+
+_loaded: dict[str, Ids] = {}
+
+
+def ids_by(file: str) -> Ids:
+    """The tokenizer of a file and what it remembers, kept for a worker's next tasks."""
+    if file not in _loaded:
+        _loaded[file] = Ids(file)
+    return _loaded[file]
 
 
 def cut(file: str):
     def work(batches):
-        ids_of = Ids(file)
+        ids_of = ids_by(file)
         for batch in batches:
             for begin in range(0, len(batch), 500):
                 part = batch.slice(begin, 500)

@@ -10,16 +10,17 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-WIDTH = 5
+WIDTH, LONGEST = 5, 64
 # Odd 64-bit factors, one for each place in a shingle.
 FACTORS = [int(xxhash.xxh3_64_intdigest(bytes([k])) | 1) for k in range(16)]
 
 
 class Remembered(dict):
     """Value of a word, worked out once. Holds two halves of at most `most` words each; when
-    the younger is full the older is dropped, so words in steady use are kept."""
+    the younger is full the older is dropped, so words in steady use are kept. Very long words
+    are worked out each time."""
 
-    def __init__(self, work=None, most: int = 150_000):
+    def __init__(self, work, most: int = 150_000):
         super().__init__()
         self.work, self.most, self.older = work, most, {}
 
@@ -31,6 +32,8 @@ class Remembered(dict):
         return value
 
     def put(self, word, value) -> None:
+        if len(word) > LONGEST:
+            return
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
