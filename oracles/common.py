@@ -1,5 +1,6 @@
 """Shared WITH clauses: test tables -> Bronze -> Silver -> feature table."""
 
+# Constant texts, limits and names in these statements are fixed values of the data contract.
 LINES = """
 li AS (
   SELECT l_orderkey, min(l_partkey) AS pk, min(l_suppkey) AS sk FROM lineitem GROUP BY l_orderkey

@@ -1,5 +1,7 @@
 """Bronze, Silver, star schema and marts."""
 
+# Constant texts, limits and column names here are fixed values of the data contract.
+
 from oracles.common import (
     BASE, BRONZE, DAILY, EXCEEDS, OFF_HOURS, SCORE, SHIFT, SILVER, WEEKEND, query,
 )
