@@ -1,10 +1,11 @@
 """Near duplicates: one-permutation hashing, densified, banded, linked by stars.
 
 Documents with equal shingle sets form a class; one document stands for it. The shingles of
-a class go into 120 bins by one hash, each bin keeps its least one, and an empty bin takes
+a class go into bins by one hash, each bin keeps its least one, and an empty bin takes
 the value of a full bin that a fixed probe order names (optimal densification). Five bins
-make a band, and classes that agree in a band share a bucket. At the threshold of 85 % a
-pair misses all 24 bands with a chance below one in a million.
+make a band, and classes that agree in a band share a bucket. The number of bands follows the
+threshold, so that a pair at it misses all of them with a chance below one in a million: 24
+bands for 85 %, 35 for 80 %.
 
 Inside a bucket the least id is the hub, and only pairs with it are confirmed, on whole
 sets. A bucket whose members this leaves in different components is taken up again: its
@@ -16,6 +17,8 @@ dissimilar members of a large bucket never become rows.
 
 Null or empty texts have no shingles and link with nothing. Rows that share a doc_id count
 as one node. A null doc_id stays null and links with nothing. Further columns are ignored.
+`without_copies` leaves such unlinked rows in the table, and one row of several with one
+doc_id and equal shingle sets.
 """
 
 from __future__ import annotations
@@ -34,22 +37,29 @@ BINS = BANDS * ROWS
 PERCENT = 85
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 SKETCH, BLOCK = 512, 256
+MISS = 1e-6
+SET_KEY = ["shingle_count", "shingle_sum", "shingle_xor"]
 SIGNATURE = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
 
+def bands_for(percent: int) -> int:
+    """How many bands a pair at the threshold misses with a chance below MISS."""
+    return int(np.ceil(np.log(MISS) / np.log1p(-((percent / 100) ** ROWS)))) if percent < 100 else 1
+
+
 def densify(bins: np.ndarray) -> np.ndarray:
     """Fill empty bins of each row from that row's full ones. Every bin has its own fixed
     random order of donors, the same for all rows. Rows without a full bin stay empty."""
-    full = bins != EMPTY
+    full, width = bins != EMPTY, bins.shape[1]
     out = bins.copy()
     row, place = np.nonzero(~full & full.any(axis=1, keepdims=True))
     attempt = 0
     while len(row):
         if attempt < 512:
             probe = W.mix(place.astype(np.uint64) * np.uint64(1 << 20) + np.uint64(attempt + 1))
-            donor = (probe % np.uint64(BINS)).astype(np.int64)
+            donor = (probe % np.uint64(width)).astype(np.int64)
         else:
-            donor = (place + attempt) % BINS
+            donor = (place + attempt) % width
         hit = full[row, donor]
         out[row[hit], place[hit]] = bins[row[hit], donor[hit]]
         row, place = row[~hit], place[~hit]
@@ -57,46 +67,57 @@ def densify(bins: np.ndarray) -> np.ndarray:
     return out
 
 
-def bin_minima(sets: list[np.ndarray]) -> np.ndarray:
-    out = np.full(len(sets) * BINS, EMPTY)
+def bin_minima(sets: list[np.ndarray], width: int = BINS) -> np.ndarray:
+    out = np.full(len(sets) * width, EMPTY)
     flat = np.concatenate([*sets, np.empty(0, np.uint64)])
     owner = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets])
     spread = W.mix(flat + np.uint64(0x9E3779B97F4A7C15))
-    place = (spread >> np.uint64(32)) % np.uint64(BINS)
-    np.minimum.at(out, owner * BINS + place.astype(np.int64), spread)
-    return out.reshape(len(sets), BINS)
+    place = (spread >> np.uint64(32)) % np.uint64(width)
+    np.minimum.at(out, owner * width + place.astype(np.int64), spread)
+    return out.reshape(len(sets), width)
 
 
 def band_numbers(bins: np.ndarray) -> np.ndarray:
-    rows = densify(bins).reshape(len(bins), BANDS, ROWS)
-    total = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), rows.shape[:2]).copy()
+    bands = bins.shape[1] // ROWS
+    rows = densify(bins).reshape(len(bins), bands, ROWS)
+    total = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), rows.shape[:2]).copy()
     for k in range(ROWS):
         total = W.mix(total + rows[:, :, k])
     return total
 
 
 def as_lists(bands: np.ndarray) -> pa.Array:
-    ends = np.arange(0, bands.size + 1, BANDS, dtype=np.int32)
+    ends = np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32)
     return pa.ListArray.from_arrays(ends, bands.reshape(-1).view(np.int64))
 
 
-def _sign(batches):
-    numbers = W.word_numbers()
-    for batch in batches:
-        sets = [W.shingles(t, numbers) for t in W.as_bytes(batch.column("text"))]
-        bands = band_numbers(bin_minima(sets))
-        sums = [int(W.mix(s).sum(dtype=np.uint64)) if len(s) else 0 for s in sets]
-        xors = [int(np.bitwise_xor.reduce(s)) if len(s) else 0 for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id").cast(pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(np.array(sums, np.uint64).view(np.int64)),
-                pa.array(np.array(xors, np.uint64).view(np.int64)),
-                as_lists(bands),
-            ],
-            names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
-        )
+def set_keys(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Size and two sums of each set; equal sets have equal ones."""
+    sums = [int(W.mix(s).sum(dtype=np.uint64)) if len(s) else 0 for s in sets]
+    xors = [int(np.bitwise_xor.reduce(s)) if len(s) else 0 for s in sets]
+    return [
+        pa.array([len(s) for s in sets], pa.int64()),
+        pa.array(np.array(sums, np.uint64).view(np.int64)),
+        pa.array(np.array(xors, np.uint64).view(np.int64)),
+    ]
+
+
+def _sign(bands: int):
+    def work(batches):
+        numbers = W.word_numbers()
+        for batch in batches:
+            sets = [W.shingles(t, numbers) for t in W.as_bytes(batch.column("text"))]
+            found = band_numbers(bin_minima(sets, bands * ROWS))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").cast(pa.int64()),
+                    *set_keys(sets),
+                    as_lists(found),
+                ],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+            )
+
+    return work
 
 
 def sketch(shingles: np.ndarray) -> bytes:
@@ -108,19 +129,22 @@ def sketch(shingles: np.ndarray) -> bytes:
     return np.where(least == EMPTY, np.uint8(0), marks).tobytes()
 
 
-def _sets(batches):
-    numbers = W.word_numbers()
-    for batch in batches:
-        sets = [W.shingles(t, numbers) for t in W.as_bytes(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("id").cast(pa.int64()),
-                pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                pa.array([sketch(s) for s in sets], pa.binary()),
-                as_lists(band_numbers(bin_minima(sets))),
-            ],
-            names=["id", "shingles", "sketch", "bands"],
-        )
+def _sets(bands: int):
+    def work(batches):
+        numbers = W.word_numbers()
+        for batch in batches:
+            sets = [W.shingles(t, numbers) for t in W.as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id").cast(pa.int64()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
+                    as_lists(band_numbers(bin_minima(sets, bands * ROWS))),
+                ],
+                names=["id", "shingles", "sketch", "bands"],
+            )
+
+    return work
 
 
 def may_link(marks, size, other_marks, other_sizes, percent: int) -> np.ndarray:
@@ -141,7 +165,7 @@ def _tile(percent: int):
         ids, parts, sizes = (tile.column(c).to_numpy() for c in ("id", "component", "size"))
         block, one, two = (tile.column(c).to_numpy() for c in ("block", "one", "two"))
         marks = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-        bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(len(tile), -1)
         bucket = tile.column("bucket")[0].as_py()
         right = np.flatnonzero(block == two)
         found = []
@@ -209,7 +233,8 @@ def link(buckets: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least reachable doc_id), kept (it is that one)."""
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = settle(texts.mapInArrow(_sign, SIGNATURE))
+    bands = bands_for(percent)
+    signed = settle(texts.mapInArrow(_sign(bands), SIGNATURE))
     key = ["n_shingles", "set_a", "set_b"]
     filled = signed.where("n_shingles > 0 and doc_id is not null")
     classes = filled.groupBy(key).agg(F.min("doc_id").alias("id"))
@@ -223,7 +248,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = settle(
         texts.join(wanted, "doc_id", "left_semi")
         .withColumnRenamed("doc_id", "id")
-        .mapInArrow(_sets, "id bigint, shingles array<bigint>, sketch binary, bands array<bigint>")
+        .mapInArrow(_sets(bands), "id bigint, shingles array<bigint>, sketch binary, bands array<bigint>")
     )
     parts = link(buckets, sets, percent)
     named = classes.join(parts, "id", "left").select(
@@ -240,3 +265,40 @@ def keep_one(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents without all but the first of each group, in their own columns."""
     kept = near_duplicates(documents, percent).where("kept").select("doc_id").distinct()
     return documents.join(kept, "doc_id", "left_semi").select(documents.columns)
+
+
+def _keyed(batches):
+    numbers = W.word_numbers()
+    for batch in batches:
+        keys = set_keys([W.shingles(t, numbers) for t in W.as_bytes(batch.column("text"))])
+        yield pa.RecordBatch.from_arrays([*batch.columns, *keys], names=[*batch.schema.names, *SET_KEY])
+
+
+def one_of_each(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """One row, the least, of those with one doc_id and equal shingle sets, but none of the ids
+    `dropped`; all rows without shingles."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    keyed = settle(rows.mapInArrow(_keyed, f"{fields}, " + ", ".join(f"{k} bigint" for k in SET_KEY)))
+    least = (
+        keyed.where(F.col(SET_KEY[0]) > 0).join(dropped, "doc_id", "left_anti").groupBy("doc_id", *SET_KEY)
+        .agg(F.min(F.struct(*rows.columns)).alias("row")).select("row.*")
+    )
+    return least.union(keyed.where(F.col(SET_KEY[0]) == 0).select(rows.columns))
+
+
+def without_copies(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents without all but one row of each group, in their own columns. Rows that
+    link with nothing stay: those without words, and those with a null doc_id."""
+    stay = settle(
+        near_duplicates(documents, percent).where("doc_id is not null").groupBy("doc_id")
+        .agg(F.count("*").alias("n"), F.expr("bool_or(kept)").alias("any"), F.expr("bool_or(kept and n_shingles > 0)").alias("words"))
+        .where("any")
+    )
+    out = documents.where("doc_id is null").union(
+        documents.join(stay.where("n = 1"), "doc_id", "left_semi").select(documents.columns)
+    )
+    again = stay.where("n > 1")
+    if again.isEmpty():
+        return out
+    dropped = again.where("not words").select("doc_id")
+    return out.union(one_of_each(documents.join(again, "doc_id", "left_semi").select(documents.columns), dropped))

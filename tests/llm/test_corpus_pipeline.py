@@ -76,3 +76,10 @@ def test_hard_and_empty_documents(spark, hard, empty, small):
         packed = corpus_pipeline.STAGES[-1][1](spark, docs, small)
         texts = [(r.doc_id, r.text) for r in docs.collect()]
         test_packing.check(packed.collect(), texts)
+
+
+def test_near_duplicates_keeps_null_ids_and_one_row_of_an_id(spark, hard, small):
+    docs = hard.select("doc_id", "text", "lang", "source", "n_chars")
+    rows = dict(corpus_pipeline.STAGES)["near duplicates"](spark, docs, small).collect()
+    ids = [r.doc_id for r in rows]
+    assert ids.count(None) == 1 and ids.count(5) == 1 and ids.count(6) == 0

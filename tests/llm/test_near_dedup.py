@@ -112,3 +112,18 @@ def test_shingle_numbers_tell_short_texts_apart():
     assert len(W.shingles(None, numbers)) == len(W.shingles(b" \n", numbers)) == 0
     assert W.shingles(b"A b c", numbers).tolist() == W.shingles(b"a  B\tc", numbers).tolist()
     assert len(set(W.shingles(b"a b c d e", numbers)) & set(W.shingles(b"a b c d", numbers))) == 0
+
+
+def test_without_copies_counts_rows(spark):
+    """Null ids link with nothing and stay; equal rows of one id become one."""
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [
+        (1, text), (1, text), (1, text.upper()), (2, text), (1, "quite other words here today"), (None, text), (None, "a b"),
+        (3, "a b"), (4, None), (4, None), (5, "x y z"), (5, "x y z"), (6, text), (6, ""),
+    ]
+    kept = N.without_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(((i, (t or "").lower()) for i, t in kept.collect()), key=str)
+    assert got == sorted(
+        [(1, text), (1, "quite other words here today"), (None, text), (None, "a b"), (3, "a b"), (4, ""), (4, ""), (5, "x y z"), (6, "")],
+        key=str,
+    )
