@@ -127,3 +127,27 @@ def test_without_copies_counts_rows(spark):
         [(1, text), (1, "quite other words here today"), (None, text), (None, "a b"), (3, "a b"), (4, ""), (4, ""), (5, "x y z"), (6, "")],
         key=str,
     )
+
+
+def test_bands_follow_the_threshold():
+    assert [N.bands_for(p) for p in (80, 85)] == [35, N.BANDS]
+    dice, missed = np.random.default_rng(4), 0
+    for _ in range(2000):
+        size = int(dice.integers(10, 80)) * 5
+        union, off = dice.integers(0, 1 << 63, size, dtype=np.uint64), size // 5
+        a, b = N.band_numbers(N.bin_minima([union[off // 2 :], union[: size - (off - off // 2)]], 35 * N.ROWS))
+        missed += not (a == b).any()
+    assert missed == 0
+
+
+def test_without_copies_from_80_percent(spark):
+    """One word changed inside 50 to 64 words leaves 0.80 to 0.85 of the shingles shared."""
+    rows = []
+    for n in range(48, 68):
+        words = [f"t{n}w{k}" for k in range(n)]
+        rows += [" ".join(words), " ".join([*words[:20], "other", *words[21:]])]
+    rows = list(enumerate(rows))
+    kept = N.without_copies(spark.createDataFrame(rows, "doc_id long, text string"), 80)
+    stay = {i for i, _, _, k in brute(rows, 80) if k}
+    assert {r.doc_id for r in kept.collect()} == stay
+    assert stay != {i for i, _, _, k in brute(rows) if k}
