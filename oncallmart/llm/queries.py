@@ -12,6 +12,7 @@ from oncallmart.llm import (
     oracle_sql,
     packing,
     personal,
+    pieces,
     quality,
     rollup,
     sharding,
@@ -71,11 +72,16 @@ def op7_fingerprints(spark, folder):
     return fingerprint.fingerprints(table(spark, folder, "documents"))
 
 
+def op13_pieces(spark, folder):
+    return pieces.digests(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_context_mixing, op2_personal_data, op3_near_dedup, op4_token_rollup, op5_quality, op6_shards,
         op7_fingerprints, op8_decontamination, op9_url_verdicts, op10_packing,
+        op13_pieces,
     )
 }
 ORACLES = oracle_sql.STATEMENTS
