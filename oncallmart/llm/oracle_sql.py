@@ -68,3 +68,75 @@ STATEMENTS = {
         ELSE 'allow' END AS verdict
     FROM judged""",
 }
+
+# Every part of every whole vector as integers, and the first codebooks.
+VECTOR_PARTS = """
+    whole AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: NOT coalesce(isfinite(x), false))) = 0),
+    parts AS MATERIALIZED (
+        SELECT vec_id, label, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x FROM whole, range(4) AS t(p)),
+    book0 AS MATERIALIZED (
+        SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS c
+        FROM parts QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 256)"""
+NEAREST = """,
+    near{r} AS MATERIALIZED (
+        SELECT vec_id, label, p, x, min({{'d': d, 'k': k}}) AS best
+        FROM (SELECT vec_id, label, p, x, k,
+                  list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS d
+              FROM parts JOIN book{r} USING (p))
+        GROUP BY ALL)"""
+MOVED = """,
+    book{n} AS MATERIALIZED (
+        SELECT b.p, b.k, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN (
+            SELECT p, k, list(mean ORDER BY i) AS c FROM (
+                SELECT p, best.k AS k, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS mean
+                FROM near{r}, unnest(range(1, len(x) + 1)) AS u(i) GROUP BY ALL)
+            GROUP BY ALL) m USING (p, k))"""
+STATEMENTS["op11_vector_codes"] = (
+    "WITH" + VECTOR_PARTS + "".join(NEAREST.format(r=r) + MOVED.format(r=r, n=r + 1) for r in range(4))
+    + NEAREST.format(r=4) + """,
+    coded AS (
+        SELECT vec_id, label, string_agg(printf('%02x', best.k), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error
+        FROM near4 GROUP BY vec_id, label)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+        (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) FROM book4) AS codebooks_sha256
+    FROM coded"""
+)
+
+STATEMENTS["op12_filter_audit"] = r"""
+    WITH marked AS (
+        SELECT coalesce(lang, '') AS part, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+            coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS is_copy,
+            coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+            coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic
+        FROM documents),
+    failed AS (
+        SELECT part, good, toxic,
+            (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END)
+            || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+            || (CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t) THEN 'C' ELSE '' END)
+            || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+            || (CASE WHEN is_copy THEN 'E' ELSE '' END) AS fails
+        FROM marked),
+    counted AS (
+        SELECT part, fails, count(*) AS n, sum(good::INT) AS good, sum(toxic::INT) AS toxic FROM failed GROUP BY ALL),
+    letter(f) AS (SELECT unnest(['A', 'B', 'C', 'D', 'E'])),
+    orders AS (
+        SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letter a, letter b, letter c, letter d, letter e
+        WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+    steps AS (SELECT o, s::INT AS s, o[s:s] AS f, o[1:s - 1] AS earlier FROM orders, range(1, 6) AS t(s)),
+    each AS (
+        SELECT part, o, s, f,
+            coalesce(sum(n) FILTER (late AND NOT fails_f), 0) AS kept, coalesce(sum(n) FILTER (late AND fails_f), 0) AS removed,
+            coalesce(sum(n) FILTER (NOT late AND fails_f), 0) AS redundant, coalesce(sum(n) FILTER (fails = f), 0) AS unique_fails,
+            coalesce(sum(good) FILTER (late AND fails_f), 0) AS good_lost,
+            coalesce(sum(toxic) FILTER (late AND fails_f), 0) AS toxic_lost
+        FROM (SELECT *, contains(fails, f) AS fails_f,
+                  translate(fails, earlier, '') = fails AS late FROM counted, steps)
+        GROUP BY part, o, s, f)
+    SELECT part, o AS filter_order, s AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+        redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+        toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+    FROM each"""

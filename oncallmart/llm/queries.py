@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from oncallmart.llm import (
     decontaminate,
+    filter_audit,
     fingerprint,
     mixing,
     near_dedup,
@@ -17,6 +18,7 @@ from oncallmart.llm import (
     rollup,
     sharding,
     url_filter,
+    vector_codes,
 )
 from oncallmart.session import tune
 
@@ -72,6 +74,14 @@ def op7_fingerprints(spark, folder):
     return fingerprint.fingerprints(table(spark, folder, "documents"))
 
 
+def op11_vector_codes(spark, folder):
+    return vector_codes.codes(table(spark, folder, "embeddings"))
+
+
+def op12_filter_audit(spark, folder):
+    return filter_audit.filter_steps(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op13_pieces(spark, folder):
     return pieces.digests(table(spark, folder, "documents"))
 
@@ -81,7 +91,7 @@ QUERIES = {
     for f in (
         op1_context_mixing, op2_personal_data, op3_near_dedup, op4_token_rollup, op5_quality, op6_shards,
         op7_fingerprints, op8_decontamination, op9_url_verdicts, op10_packing,
-        op13_pieces,
+        op11_vector_codes, op12_filter_audit, op13_pieces,
     )
 }
 ORACLES = oracle_sql.STATEMENTS
