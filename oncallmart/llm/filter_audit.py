@@ -19,7 +19,7 @@ a copy of the other. Labels of one doc_id hold if any of its rows says 1; null l
 nothing. A null part is the empty string. An empty table gives no rows. Further columns are
 ignored, whatever their names.
 
-Texts are read once and do not move: what moves are digests, flags and ids. The counts
+Texts are read once and do not move: what moves and is stored are digests, flags and ids. The counts
 behind E are added up by (text, part) before any shuffle by text, so that a text of a third
 of all rows is one row a task; null ids, which no label fits, are dealt out by the text.
 """
@@ -225,13 +225,13 @@ def masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
         (F.col("n") * F.coalesce("is_toxic", F.lit(0))).alias("toxic"),
     )
     named = F.col("doc_id").isNotNull()
-    by_text = known.groupBy("text_md5", "part").agg(
+    by_text = settle(known.groupBy("text_md5", "part").agg(
         F.first("mask").alias("mask"),
         *(F.sum(w).alias(w) for w in ("n", "good", "toxic")),
         # A doc_id has one row here, so the least struct is that of the smallest doc_id.
         F.min(F.when(named, F.struct("doc_id", "n", "good", "toxic"))).alias("least"),
         *(F.sum(F.when(~named, F.col(w)).otherwise(0)).alias(f"free_{w}") for w in ("n", "good", "toxic")),
-    )
+    ))
     smallest = by_text.groupBy(F.col("text_md5").alias("text")).agg(F.min("least.doc_id").alias("smallest"))
     held = by_text.join(smallest, F.col("text_md5") == F.col("text"))
     first = F.coalesce(F.col("least.doc_id") == F.col("smallest"), F.lit(False))
