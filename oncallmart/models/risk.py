@@ -12,13 +12,14 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oncallmart import schema as S
+from oncallmart.models import paths
 from oncallmart.operators import evaluation, prep
 from oncallmart.session import settle, side_by_side, use_shared_checkpoints
 
@@ -199,43 +200,41 @@ def linear_shap(prepared: Prepared) -> DataFrame:
     return sized.join(prepared.encoder.names(), "pos").select("feature", "importance")
 
 
+def tree_contributions(model, frame: DataFrame) -> DataFrame:
+    """(incident_id, base, contributions, margin): what each used feature adds to a ticket's
+    margin, next to the margin that the model itself gives."""
+    found = paths.of_model(model, frame.sparkSession)
+    margins = model.transform(frame).select("incident_id", vector_to_array("rawPrediction")[1].alias("margin"))
+    return paths.contributions(found, frame).join(margins, "incident_id")
+
+
+def tree_importance(model, frame: DataFrame, names: DataFrame) -> DataFrame:
+    """Mean absolute Shapley contribution of each feature to the margin."""
+    return paths.mean_absolute(paths.of_model(model, frame.sparkSession), frame, names)
+
+
 def permutation_importance(model, frame: DataFrame, names: DataFrame) -> DataFrame:
     """Mean absolute change of the predicted probability when one feature is swapped.
 
     Each row takes the feature from another row: rows are put into buckets by a
     hash of their id, and inside a bucket each borrows from the next in hash
     order. That is one shuffle for all features, with buckets of even size
-    whatever the data looks like. Only features in which the two rows differ can
-    change the score; the others count as no change. The untouched score travels with
-    the row, so every row is scored once per feature that differs and once untouched.
+    whatever the data looks like. A row and its donor travel once, as the features that the
+    trees use; all swaps are scored in the task.
     """
+    found = paths.of_model(model, frame.sparkSession)
     rows = frame.count()
     buckets = max(1, rows // 1000)
     order = F.xxhash64("incident_id", F.lit(7))
     ring = Window.partitionBy("bucket").orderBy("order", "incident_id")
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    probability = vector_to_array("probability")[1]
     paired = (
-        model.transform(frame.select("incident_id", "features"))
-        .select(
-            "incident_id", vector_to_array("features").alias("x"), probability.alias("p0"),
-            order.alias("order"),
-        )
+        paths.sliced(found, frame.select("incident_id", "features"))
+        .select("incident_id", "x", order.alias("order"))
         .withColumn("bucket", F.pmod(F.xxhash64("incident_id", F.lit(11)), F.lit(buckets)))
         .withColumn("donor", F.coalesce(F.lead("x").over(ring), F.first("x").over(whole)))
     )
-    indices = F.sequence(F.lit(0), F.size("x") - 1)
-    differing = F.filter(indices, lambda i: F.get("x", i) != F.get("donor", i))
-    swapped = paired.select("x", "p0", F.explode(differing).alias("pos"), "donor").select(
-        "pos", "p0",
-        array_to_vector(
-            F.transform("x", lambda v, i: F.when(i == F.col("pos"), F.get("donor", i)).otherwise(v))
-        ).alias("features"),
-    )
-    sums = model.transform(swapped).groupBy("pos").agg(
-        F.sum(F.abs(probability - F.col("p0"))).alias("s")
-    )
-    return names.join(sums, "pos", "left").select(
+    return names.join(paths.swap_changes(found, paired), "pos", "left").select(
         "feature", (F.coalesce("s", F.lit(0.0)) / F.lit(float(max(rows, 1)))).alias("importance")
     )
 

@@ -956,6 +956,27 @@ def permutation_importance(spark, folder):
     return RK.permutation_importance(RK.fit(ready.train), ready.test, ready.encoder.names())
 
 
+@query
+def tree_importance(spark, folder):
+    """Mean absolute contribution of each feature to the trees' margin."""
+    ready = RK.prepare(marts.sla_mart(base(spark, folder)))
+    return RK.tree_importance(RK.fit(ready.train), ready.test, ready.encoder.names())
+
+
+@query
+def contribution_check(spark, folder):
+    """Test tickets by class, and those whose contributions add up to the model's margin."""
+    ready = RK.prepare(marts.sla_mart(base(spark, folder)))
+    made = RK.tree_contributions(RK.fit(ready.train, trees=20), ready.test)
+    total = F.aggregate("contributions", F.col("base"), lambda a, x: a + x)
+    return made.join(ready.test.select("incident_id", "label"), "incident_id").groupBy(
+        F.col("label").cast("int").alias("label")
+    ).agg(
+        F.count("*").alias("tickets"),
+        F.count_if(F.abs(total - F.col("margin")) <= 1e-6).alias("additive"),
+    )
+
+
 @query
 def feature_selection(spark, folder):
     return RK.selection_report(RK.prepare(marts.sla_mart(base(spark, folder))))

@@ -78,6 +78,14 @@ def discard_settled(spark: SparkSession, keep: int = 0) -> int:
     return len(paths)
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared checkpoint folder, deleted with the stored copies."""
+    use_shared_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
+    _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def settle(frame: DataFrame) -> DataFrame:
     """Store a frame that several jobs will read, and read it back.
 
@@ -86,9 +94,7 @@ def settle(frame: DataFrame) -> DataFrame:
     reader prune columns and filter at the scan.
     """
     spark = frame.sparkSession
-    use_shared_checkpoints(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/settled-{uuid.uuid4().hex}"
-    _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = scratch(spark, "settled")
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

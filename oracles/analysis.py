@@ -632,3 +632,9 @@ add("record_latest", BASE, """SELECT 'forecast_d1' AS model, 'amostras' AS name,
 add("schema_differences", BRONZE, """SELECT 'bronze' AS source, count(*) AS tickets,
   '' AS missing, '' AS extra FROM bronze
 UNION ALL SELECT 'cut', count(*), 'Status', 'extra' FROM bronze""")
+add("contribution_check", BASE, """SELECT label, count(*) AS tickets, count(*) AS additive FROM (
+  SELECT excedeu_tempo_esperado AS label,
+    row_number() OVER (PARTITION BY excedeu_tempo_esperado
+      ORDER BY md5(incident_id || '#42'), incident_id)
+      <= round(count(*) OVER (PARTITION BY excedeu_tempo_esperado) * 0.2) AS is_test FROM base)
+WHERE is_test GROUP BY 1""")
