@@ -10,7 +10,7 @@ from oncallmart.models import anomalies, clusters, forecast, records, risk
 from oncallmart.operators import analytics, evaluation, quality, silver, star
 from oncallmart.plans import marts
 from oncallmart.session import discard_settled, settle, settled
-from oncallmart.sources import sinks
+from oncallmart.sources import sinks, versions
 
 
 @dataclass(frozen=True)
@@ -26,21 +26,24 @@ class Layout:
 
 def load_silver(bronze: DataFrame, layout: Layout, min_date: str = S.MIN_DATE,
                 work_only: bool = False) -> DataFrame:
-    """Check Bronze, write Silver by month, check what was written, return it."""
+    """Check Bronze, merge it into Silver by ticket, check the counts, return Silver.
+
+    Tickets that the load does not bring stay, also those of a month that it begins in; a
+    ticket delivered again replaces its old row, even in another month. Versions before the
+    last two are deleted."""
     quality.require_schema(bronze, S.BRONZE, S.REQUIRED)
     quality.require_rows(bronze)
     recent = silver.since(bronze, min_date)
     made = silver.silver(silver.real_work(recent) if work_only else recent)
-    written = sinks.write_monthly(made, layout.path("silver", "incidents"))
-    sinks.verify_monthly(bronze.sparkSession, written)
+    path = layout.path("silver", "incidents")
+    versions.merge(made, path)
+    versions.clean(bronze.sparkSession, path)
     return read_silver(bronze.sparkSession, layout)
 
 
 def read_silver(spark: SparkSession, layout: Layout, since: str | None = None) -> DataFrame:
     """Silver, optionally from a day on; whole months before it are never listed."""
-    frame = spark.read.parquet(layout.path("silver", "incidents")).withColumn(
-        "Ano_Mes", F.col("Ano_Mes").cast("string")
-    )
+    frame = versions.read(spark, layout.path("silver", "incidents"))
     if since is None:
         return frame
     return silver.since(frame.where(F.col("Ano_Mes") >= since[:7]), since)

@@ -26,9 +26,10 @@ from oncallmart.operators import series as R
 from oncallmart.operators import silver as SV
 from oncallmart.operators import star
 from oncallmart.plans import marts
-from oncallmart.session import settle
+from oncallmart.session import scratch, settle
 from oncallmart.sources import bronze as B
 from oncallmart.sources import fixtures
+from oncallmart.sources import versions as VS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,6 +133,28 @@ def kpi_text_clean(spark, folder):
     )
 
 
+@query
+def silver_two_loads(spark, folder):
+    """Months of Silver after a load up to March 1998 and one from the middle of that month
+    on, which brings a seventh of its tickets with a longer duration, and old tickets again
+    with a day of opening forty days later."""
+    delivered = fixtures.bronze(spark, folder)
+    number = F.substring("Numero", 4, 9).cast("long")
+    opened = F.col("Aberto")
+    from_march = opened >= F.lit("1998-03-15").cast("timestamp_ntz")
+    later = delivered.where(from_march | (number % 101 == 0)).withColumns({
+        "Duracao": F.when(number % 7 == 0, F.col("Duracao") + 60).otherwise(F.col("Duracao")),
+        "Aberto": F.when(from_march, opened).otherwise(opened + F.expr("INTERVAL 40 DAYS")),
+    })
+    path = scratch(spark, "silver")
+    VS.merge(SV.silver(delivered.where(opened < F.lit("1998-04-01").cast("timestamp_ntz"))), path)
+    VS.merge(SV.silver(later), path)
+    return VS.read(spark, path).groupBy("Ano_Mes").agg(
+        F.count("*").alias("tickets"), F.count_distinct("Numero").alias("numbers"),
+        F.sum("Duracao").alias("seconds"),
+    )
+
+
 # --- Feature table and marts --------------------------------------------------
 
 

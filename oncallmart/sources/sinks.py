@@ -6,9 +6,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-
-class LoadMismatch(Exception):
-    """What was written is not what was meant to be written."""
+from oncallmart.sources import versions
+from oncallmart.sources.versions import LoadMismatch
 
 
 class ExportFailed(Exception):
@@ -67,10 +66,12 @@ def with_audit(frame: DataFrame, batch_time: str) -> DataFrame:
 
 
 def publish(frame: DataFrame, path: str, batch_time: str) -> Written:
-    """Replace a serving table kept as Parquet; executors write, nothing is collected."""
-    counted, seen = _observed(with_audit(frame, batch_time))
-    counted.write.mode("overwrite").parquet(path)
-    return Written(path, seen.get["rows"])
+    """Replace a serving table kept as Parquet; executors write, nothing is collected. Until
+    all is written readers (`versions.read`) see the old rows, and then the new ones; the
+    version before is kept for those that are reading it."""
+    made = versions.publish(with_audit(frame, batch_time), path)
+    versions.clean(frame.sparkSession, path)
+    return Written(path, made.rows)
 
 
 def publish_jdbc(frame: DataFrame, url: str, table: str, batch_time: str,
@@ -87,8 +88,8 @@ def publish_jdbc(frame: DataFrame, url: str, table: str, batch_time: str,
 
 
 def verify(spark: SparkSession, written: Written) -> bool:
-    """Does the target hold the number of rows that was written?"""
-    return spark.read.parquet(written.path).count() == written.rows
+    """Does the serving table hold the number of rows that was written?"""
+    return versions.read(spark, written.path).count() == written.rows
 
 
 def write_run(records: DataFrame, path: str) -> None:

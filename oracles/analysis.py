@@ -638,3 +638,10 @@ add("contribution_check", BASE, """SELECT label, count(*) AS tickets, count(*) A
       ORDER BY md5(incident_id || '#42'), incident_id)
       <= round(count(*) OVER (PARTITION BY excedeu_tempo_esperado) * 0.2) AS is_test FROM base)
 WHERE is_test GROUP BY 1""")
+add("silver_two_loads", BRONZE, """SELECT strftime(opened, '%Y-%m') AS "Ano_Mes", count(*) AS tickets,
+  count(DISTINCT n) AS numbers, CAST(sum(seconds) AS BIGINT) AS seconds FROM (
+  SELECT n, CASE WHEN k % 101 = 0 AND NOT late THEN "Aberto" + INTERVAL 40 DAY ELSE "Aberto" END AS opened,
+    CASE WHEN k % 7 = 0 AND (late OR k % 101 = 0) THEN "Duracao" + 60 ELSE "Duracao" END AS seconds
+  FROM (SELECT "Numero" AS n, CAST(substr("Numero", 4) AS BIGINT) AS k, "Aberto", "Duracao",
+          "Aberto" >= TIMESTAMP '1998-03-15' AS late FROM bronze))
+GROUP BY 1""")
