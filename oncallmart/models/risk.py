@@ -1,6 +1,6 @@
 """SLA-risk classifier: encoding, boosted trees, explanation, selection, tuning."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 from itertools import product
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oncallmart import schema as S
+from oncallmart.models import histogram_trees as trees
 from oncallmart.models import paths
 from oncallmart.operators import evaluation, prep
 from oncallmart.session import settle, side_by_side, use_shared_checkpoints
@@ -55,7 +56,7 @@ class Encoder:
     sizes: dict[str, int]
     model: PipelineModel
 
-    def apply(self, frame: DataFrame) -> DataFrame:
+    def _placed(self, frame: DataFrame) -> DataFrame:
         placed = frame.na.fill(0, self.numeric)
         for column in self.text:
             known = self.levels.where(F.col("column") == column).select(
@@ -68,10 +69,22 @@ class Encoder:
                 .withColumn(f"{column}__i", F.coalesce("_place", F.lit(self.sizes[column])).cast("double"))
                 .drop("_level", "_place")
             )
-        return self.model.transform(placed).select(
+        return placed
+
+    def apply(self, frame: DataFrame) -> DataFrame:
+        return self.model.transform(self._placed(frame)).select(
             *[c for c in frame.columns if c not in {*self.numeric, *self.text}], "features"
         )
 
+    def values(self, frame: DataFrame) -> DataFrame:
+        """Instead of the vector, `x`: the numbers, then the place of each text's level."""
+        places = [F.col(f"{c}__i") for c in self.text]
+        numbers = [F.col(c).cast("double") for c in self.numeric]
+        return self._placed(frame).select(
+            *[c for c in frame.columns if c not in {*self.numeric, *self.text}],
+            F.array(*numbers, *places).alias("x"),
+        )
+
     def width(self) -> int:
         return len(self.numeric) + sum(n + 1 for n in self.sizes.values())
 
@@ -299,6 +312,100 @@ def grid_search(prepared: Prepared, grid: dict[str, list] = GRID, seed: int = 42
     )
 
 
+@dataclass
+class Binned:
+    """Rows of (incident_id, label, fold, codes) for models grown together."""
+
+    train: DataFrame
+    test: DataFrame
+    columns: trees.Columns
+    encoder: Encoder
+
+    def names(self) -> dict:
+        """Names of the columns, and of the (column, level) pairs of texts."""
+        numbers, n = dict(enumerate(self.encoder.numeric)), len(self.encoder.numeric)
+        at = {c: n + k for k, c in enumerate(self.encoder.text)}
+        levels = {
+            (at[r["column"]], r["place"]): f"{r['column']}_{r['level']}" for r in self.encoder.levels.collect()
+        }
+        unseen = {(at[c], self.encoder.sizes[c]): f"{c}___unseen" for c in self.encoder.text}
+        return {**numbers, **levels, **unseen}
+
+
+def prepare_binned(mart: DataFrame, columns: list[str] | None = None, folds: int = 5, seed: int = 42) -> Binned:
+    """The split of `prepare` with bins fitted on the training rows, which also have a fold."""
+    labelled = mart.where(F.col(LABEL).isNotNull())
+    split = settle(prep.exact_stratified_split(labelled, LABEL, seed=seed))
+    train_rows, test_rows = split.where(~F.col("is_test")), split.where("is_test")
+    encoder = fit_encoder(train_rows.drop("is_test"), columns)
+
+    def valued(rows: DataFrame) -> DataFrame:
+        return encoder.values(rows.drop("is_test")).select(
+            "incident_id", F.col(LABEL).cast("double").alias("label"), "x"
+        )
+
+    train = settle(prep.stratified_folds(valued(train_rows), "label", folds, seed=seed))
+    first = len(encoder.numeric)
+    sizes = {first + k: encoder.sizes[c] + 1 for k, c in enumerate(encoder.text)}
+    bins = trees.bins_of(train, sizes, first + len(encoder.text))
+
+    def binned(rows: DataFrame) -> DataFrame:
+        return settle(trees.coded(rows, bins, ["incident_id", "label", "fold"]))
+
+    return Binned(binned(train), binned(valued(test_rows).withColumn("fold", F.lit(-1))), bins, encoder)
+
+
+def _quality(scored: DataFrame, by: str) -> DataFrame:
+    """Area under the curve and F1 of (label, score) by model."""
+    scored = settle(scored)
+    areas = evaluation.auc(scored, "label", "score", [by]).select(by, F.col("auc").alias("auc_roc"))
+    hit, said = F.col("label") == 1, F.col("score") > 0.5
+    f1 = scored.groupBy(by).agg(
+        (2 * F.count_if(hit & said) / F.nullif(F.count_if(hit) + F.count_if(said), F.lit(0))).alias("f1")
+    )
+    return areas.join(f1.select(by, F.coalesce("f1", F.lit(0.0)).alias("f1")), by)
+
+
+def joint_grid_search(ready: Binned, grid: dict[str, list] = GRID, local_rows: int | None = None) -> DataFrame:
+    """One row per combination with its area under the curve and F1 on the test rows. All
+    combinations grow together, those that differ in the number of trees as one."""
+    plans = [trees.Plan(*c) for c in product(grid["maxDepth"], grid["stepSize"], grid["maxIter"])]
+    models = trees.fit(ready.train, plans, ready.columns, local_rows)
+    scored = trees.scores(ready.test, plans, models, ready.columns).select("label", F.posexplode("p").alias("model", "score"))
+    told = ready.train.sparkSession.createDataFrame(
+        [(k, p.depth, p.rate, p.trees) for k, p in enumerate(plans)],
+        "model int, max_depth int, learning_rate double, n_estimators int",
+    )
+    return told.join(_quality(scored, "model"), "model").drop("model")
+
+
+def cross_validate_selected(ready: Binned, plan: trees.Plan = trees.Plan(), above: float = 0.005, folds: int = 5,
+                            local_rows: int | None = None) -> tuple[DataFrame, dict[int, dict]]:
+    """Each fold ranks, selects and fits without its own rows: (fold, tickets, n_features,
+    n_selected, auc_roc_all, auc_roc), and the selected features with their share of the gain
+    by fold. A feature is kept if the trees owe it more than `above` of their gain."""
+    first = [replace(plan, left_out=k) for k in range(folds)]
+    full = trees.fit(ready.train, first, ready.columns, local_rows)
+    kept = [{f: g for f, g in trees.gains(model, ready.columns).items() if g > above} for model in full]
+    second = [replace(p, allowed=frozenset(k)) for p, k in zip(first, kept, strict=True)]
+    reduced = trees.fit(ready.train, second, ready.columns, local_rows)
+    scored = settle(
+        trees.scores(ready.train, [*first, *second], [*full, *reduced], ready.columns).select(
+            "label", "fold", F.get("p", F.col("fold")).alias("all"), F.get("p", F.col("fold") + folds).alias("some")
+        )
+    )
+    areas = [
+        evaluation.auc(scored, "label", c, ["fold"]).select(
+            "fold", (F.col("positives") + F.col("negatives")).alias("tickets"), F.col("auc").alias(name)
+        )
+        for c, name in (("all", "auc_roc_all"), ("some", "auc_roc"))
+    ]
+    told = ready.train.sparkSession.createDataFrame(
+        [(k, ready.encoder.width(), len(kept[k])) for k in range(folds)], "fold int, n_features int, n_selected int"
+    )
+    return areas[0].join(areas[1].drop("tickets"), "fold").join(told, "fold"), dict(enumerate(kept))
+
+
 def best_of_grid(results: DataFrame) -> DataFrame:
     order = F.struct("auc_roc", -F.col("max_depth"), -F.col("n_estimators"))
     return results.agg(F.max_by(F.struct(*results.columns), order).alias("b")).select("b.*")

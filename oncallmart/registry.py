@@ -1053,6 +1053,42 @@ def cv_summary(spark, folder):
     return RK.cv_summary(RK.cross_validate(RK.selected(ready).train))
 
 
+@query
+def grid_search(spark, folder):
+    """All 27 combinations of depth, rate and number of trees."""
+    return RK.joint_grid_search(RK.prepare_binned(marts.sla_mart(base(spark, folder))))
+
+
+@query
+def grid_auc_pivot(spark, folder):
+    """Best area by depth and rate, over the numbers of trees."""
+    return A.pivot_max(grid_search(spark, folder), "max_depth", "learning_rate", "auc_roc", RK.GRID["stepSize"])
+
+
+@query
+def grid_best_per_depth(spark, folder):
+    """The best combination of each depth; fewer trees win ties."""
+    found = grid_search(spark, folder).withColumn("fewer", -F.col("n_estimators"))
+    order = F.struct("auc_roc", "fewer", -F.col("learning_rate"))
+    return found.groupBy("max_depth").agg(
+        F.max_by(F.struct("learning_rate", "n_estimators", "auc_roc", "f1"), order).alias("b")
+    ).select("max_depth", "b.*")
+
+
+@query
+def cv_selection(spark, folder):
+    """Areas of each fold with all features and with those that its own training chose."""
+    ready = RK.prepare_binned(marts.sla_mart(base(spark, folder)))
+    return RK.cross_validate_selected(ready)[0]
+
+
+@query
+def cv_selection_tickets(spark, folder):
+    """Tickets in each fold of the training rows."""
+    ready = RK.prepare_binned(marts.sla_mart(base(spark, folder)))
+    return RK.cross_validate_selected(ready, RK.trees.Plan(depth=2, trees=5))[0].select("fold", "tickets")
+
+
 # --- What every run of a model must keep, whatever it learns -------------------------------------
 
 

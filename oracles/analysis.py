@@ -645,3 +645,8 @@ add("silver_two_loads", BRONZE, """SELECT strftime(opened, '%Y-%m') AS "Ano_Mes"
   FROM (SELECT "Numero" AS n, CAST(substr("Numero", 4) AS BIGINT) AS k, "Aberto", "Duracao",
           "Aberto" >= TIMESTAMP '1998-03-15' AS late FROM bronze))
 GROUP BY 1""")
+add("cv_selection_tickets", BASE, """SELECT CAST((place - cut - 1) % 5 AS INT) AS fold, count(*) AS tickets FROM (
+  SELECT label, row_number() OVER (PARTITION BY label ORDER BY h, incident_id) AS place,
+    round(count(*) OVER (PARTITION BY label) * 0.2) AS cut
+  FROM (SELECT incident_id, excedeu_tempo_esperado AS label, md5(incident_id || '#42') AS h FROM base))
+WHERE place > cut GROUP BY 1""")
