@@ -40,7 +40,11 @@ STATEMENTS = {
     FROM counted GROUP BY source, lang""",
     "op8_decontamination": "WITH" + SHINGLES.format(name="documents", id="doc_id") + ","
     + SHINGLES.format(name="benchmark", id="item_id") + """,
-    found AS (SELECT doc_id, unnest(s) AS g FROM documents_sets),
+    found AS (
+        SELECT doc_id, unnest(s) AS g FROM documents_sets
+        UNION SELECT doc_id, array_to_string(w[i:i + k - 1], ' ')
+        FROM documents_words, (SELECT DISTINCT len(w) AS k FROM benchmark_words WHERE len(w) BETWEEN 1 AND 4),
+            range(1, len(w) - k + 2) AS t(i)),
     wanted AS (SELECT item_id, len(s) AS n_item, unnest(s) AS g FROM benchmark_sets)
     SELECT doc_id, item_id, n_item::BIGINT AS n_item, count(*)::BIGINT AS n_shared,
         count(*)::DOUBLE / n_item AS containment

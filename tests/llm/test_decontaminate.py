@@ -12,10 +12,16 @@ def shingles(text):
     return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)} if words else set()
 
 
+def windows(text):
+    """Runs of fewer than five words, which short items are looked for in."""
+    words = (text or "").encode().lower().split()
+    return {tuple(words[k : k + w]) for w in range(1, 5) for k in range(len(words) - w + 1)}
+
+
 def brute(documents, items):
     sets, wanted = {}, {}
     for i, t in documents:
-        sets.setdefault(i, set()).update(shingles(t))
+        sets.setdefault(i, set()).update(shingles(t) | windows(t))
     for i, t in items:
         wanted.setdefault(i, set()).update(shingles(t))
     return sorted(
@@ -60,17 +66,53 @@ def test_hard_rows(spark, hard, empty):
     assert sorted(map(str, clean.collect())) == sorted(str(r) for r in hard.collect() if r.doc_id not in leaked)
 
 
-def test_sketch_size_follows_the_document():
+def test_sketch_keeps_the_asked_share():
     dice = np.random.default_rng(1)
-    for size in (1, 5, 64, 1000):
+    for size in (65, 100, 128, 3000):
         shingles = np.unique(dice.integers(0, 1 << 63, size, dtype=np.uint64))
-        assert 0.7 * size <= D.sketched(shingles).sum() <= size
-    assert D.bins_of(64) < D.bins_of(65) == D.bins_of(128)
-
-
-def test_filter_has_all_items(spark):
+        for cls in (1, 2, 4):
+            kept = np.mean([D.sketched(W.mix(shingles + np.uint64(k)), D.bins_each(D.share(cls, 80))).mean() for k in range(40)])
+            assert D.share(cls, 80) - 0.03 < kept <= min(1.0, 2.1 * D.share(cls, 80))
+    shares = [D.share(q, 80) for q in range(12)]
+    assert shares == sorted(shares, reverse=True) and shares[0] == 1.0 and shares[-1] < 0.01
+    assert [D.class_of(n) for n in (1, 15, 16, 31, 32, 64, 1000)] == [0, 0, 1, 1, 2, 3, 6]
+
+
+def test_classes_of_items_on_spark(spark):
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n + 4))) for n in (1, 15, 16, 31, 32, 63, 64, 200)]
+    got = {r.item_id: (r.n_item, r["class"]) for r in D._index(spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {n: (n, D.class_of(n)) for n, _ in items}
+
+
+def test_only_sketches_make_candidates(spark, monkeypatch):
+    """Without values in the sketches nothing is found; with thin ones recall is as computed."""
+    dice = random.Random(11)
+    word = lambda: "w%d" % dice.randrange(10**7)
+    items = [(k, " ".join(word() for _ in range(36))) for k in range(300)]
+    documents = [(k, " ".join([word() for _ in range(500)] + t.split() + [word() for _ in range(300)])) for k, t in items]
+    docs, wanted = spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert found(docs, wanted) == brute(documents, items)
+    monkeypatch.setattr(D, "MISS", 0.1)
+    some = found(docs, wanted)
+    # At most a tenth of items contained to 80 % are missed, fewer of those contained whole.
+    assert set(some) < set(brute(documents, items)) and len(some) >= 0.9 * len(items)
+    monkeypatch.setattr(D, "MISS", 1.0 - 1e-12)
+    assert len(found(docs, wanted)) < 0.1 * len(items)
+
+
+def test_short_items_inside_long_documents(spark):
+    items = [(1, "one"), (2, "Two words"), (3, "now three words"), (4, "here are four words"), (5, "absent")]
+    long = "x " * 500
+    documents = [(k, f"{long}{t} {long}") for k, t in items[:4]] + [(9, "two"), (10, "words two"), (11, "now three words")]
+    got = found(spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got == brute(documents, items) and (2, 2, 1, 1) in got and (11, 3, 1, 1) in got
+
+
+def test_filter_has_all_items_and_grows_with_them(spark):
     shingles = W.mix(np.arange(5000, dtype=np.uint64))
     rows = spark.createDataFrame([(int(x),) for x in shingles.view(np.int64)], "shingle long")
-    bits = D.bloom(rows)
-    assert D.in_bloom(bits, shingles).all()
+    size = D.bloom_size(5000)
+    bits = D.bloom(rows, size)
+    assert len(bits) * 8 == size and D.in_bloom(bits, shingles).all()
     assert D.in_bloom(bits, W.mix(np.arange(10**6, 10**6 + 5000, dtype=np.uint64))).mean() < 0.01
+    assert D.bloom_size(0) == D.BLOOM_LEAST < D.bloom_size(10**5) < D.bloom_size(10**6) <= D.bloom_size(10**12) == D.BLOOM_MOST
