@@ -2,8 +2,10 @@
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +31,27 @@ SETTINGS = {
 }
 
 
+# Applications whose workers have the package.
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they find it
+    wherever they run and whatever folder the driver was started in."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="oncallmart-package-")) / "oncallmart.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as made:
+        for source in sorted(package.rglob("*.py")):
+            made.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
+    ship(spark)
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -41,7 +63,9 @@ def build(app: str = "oncallmart", master: str | None = None, **extra: str) -> S
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    made = builder.getOrCreate()
+    ship(made)
+    return made
 
 
 def use_shared_checkpoints(spark: SparkSession) -> None:
