@@ -94,12 +94,23 @@ def frequency_encode(frame: DataFrame, fitted: DataFrame, columns: list[str]) ->
 
 
 def numbered_levels(frame: DataFrame, columns: list[str]) -> DataFrame:
-    """Every level of every column, null counted as 'unknown', with its place by frequency."""
-    counts = _levels(frame, columns, missing="unknown") if columns else frame.sparkSession.createDataFrame(
+    """Every level of every column, null counted as 'unknown', with its place by frequency;
+    levels of one frequency are in the order of their hash.
+
+    Frequencies are few, whatever the number of levels: each takes the places after those of
+    the larger ones, and the levels of one frequency are placed by hash prefix, so no task
+    ranks all levels of a column.
+    """
+    counts = settle(_levels(frame, columns, missing="unknown")) if columns else frame.sparkSession.createDataFrame(
         [], "column string, level string, n bigint"
     )
-    order = Window.partitionBy("column").orderBy(F.desc("n"), "level")
-    return counts.select("column", "level", "n", (F.row_number().over(order) - 1).alias("place"))
+    same = F.concat_ws("#", "n", "column")
+    placed = _places(counts.withColumn("_same", same), "_same", "level", 0)
+    sizes = counts.groupBy("column", "n").agg(F.count("*").alias("levels")).withColumn("order", -F.col("n"))
+    starts = ordered.running_sums(sizes, "order", ["levels"], ["column"]).select("column", "n", "levels_before")
+    return placed.join(starts, ["column", "n"]).select(
+        "column", "level", "n", (F.col("levels_before") + F.col("_place") - 1).cast("int").alias("place")
+    )
 
 
 def one_hot_levels(frame: DataFrame, columns: list[str], cap: int = 50) -> DataFrame:

@@ -19,6 +19,7 @@ from oncallmart.models import risk as RK
 from oncallmart.operators import analytics as A
 from oncallmart.operators import calendar_tables as K
 from oncallmart.operators import evaluation as E
+from oncallmart.operators import hierarchy as HY
 from oncallmart.operators import ordered as O
 from oncallmart.operators import prep as P
 from oncallmart.operators import quality as Q
@@ -452,6 +453,18 @@ def goal_tracking(spark, folder):
     return A.goal_tracking(tickets(spark, folder))
 
 
+@query
+def root_children(spark, folder):
+    """Tickets below each root, by depth. Beside the tickets' own parents, a quarter hangs on
+    one ticket and the others on the ticket of half their number, which may not exist."""
+    number = F.substring("Numero", 4, 9).cast("long")
+    above = F.when(number % 4 == 0, F.lit(1)).otherwise(F.floor(number / 2))
+    named = F.when(number > 1, F.concat(F.lit("INC"), F.lpad(above.cast("string"), 9, "0")))
+    linked = tickets(spark, folder).select("Numero", "Exige_Intervencao", "Possui_Pai", "Incidente_Pai")
+    parent = F.when(F.col("Possui_Pai") == 1, F.col("Incidente_Pai")).otherwise(named)
+    return HY.descendants(linked.withColumn("Incidente_Pai", parent))
+
+
 @query
 def parent_children(spark, folder):
     return A.parent_children(tickets(spark, folder))

@@ -650,3 +650,15 @@ add("cv_selection_tickets", BASE, """SELECT CAST((place - cut - 1) % 5 AS INT) A
     round(count(*) OVER (PARTITION BY label) * 0.2) AS cut
   FROM (SELECT incident_id, excedeu_tempo_esperado AS label, md5(incident_id || '#42') AS h FROM base))
 WHERE place > cut GROUP BY 1""")
+add("root_children", SILVER, """SELECT root, CAST(depth AS BIGINT) AS depth, count(*) AS tickets,
+  CAST(sum(w) AS BIGINT) AS with_work FROM (
+  WITH RECURSIVE linked AS (
+    SELECT "Numero" AS n, "Exige_Intervencao" AS w, CASE WHEN "Possui_Pai" = 1 THEN "Incidente_Pai"
+      WHEN k > 1 THEN 'INC' || lpad(CAST(CASE WHEN k % 4 = 0 THEN 1 ELSE k // 2 END AS VARCHAR), 9, '0') END AS up
+    FROM (SELECT *, CAST(substr("Numero", 4) AS BIGINT) AS k FROM silver)),
+  walk(n, w, up, depth) AS (
+    SELECT n, w, up, 1 FROM linked WHERE up IS NOT NULL
+    UNION ALL SELECT walk.n, walk.w, linked.up, depth + 1 FROM walk JOIN linked ON linked.n = walk.up
+    WHERE linked.up IS NOT NULL)
+  SELECT n, max(w) AS w, arg_max(up, depth) AS root, max(depth) AS depth FROM walk GROUP BY n)
+GROUP BY 1, 2""")
