@@ -12,6 +12,7 @@ from oncallmart import session
 from oncallmart.functions import calendar as C
 from oncallmart.functions import tickets as X
 from oncallmart.models import anomalies as AN
+from oncallmart.models import breaks as BR
 from oncallmart.models import clusters as CL
 from oncallmart.models import forecast as FC
 from oncallmart.models import records as REC
@@ -967,6 +968,28 @@ def forecast_rolling_origin(spark, folder):
     return R.horizon_metrics(FC.backtest_global(marts.forecast_mart(base(spark, folder))))
 
 
+def _daily(spark, folder) -> DataFrame:
+    return FC.daily_series(marts.forecast_mart(base(spark, folder))).withColumn("team", F.lit("all"))
+
+
+@query
+def trend_changes(spark, folder):
+    """Changes of trend of all tickets and of every team."""
+    teams = A.team_daily(base(spark, folder)).select("team", "ds", "y")
+    return BR.trend_changes(teams.unionByName(_daily(spark, folder).select("team", "ds", "y")))
+
+
+@query
+def forecast_breaks(spark, folder):
+    return BR.forecast(_daily(spark, folder), yearly=FC.YEARLY_WAVES)
+
+
+@query
+def breaks_backtest(spark, folder):
+    """Errors of the bending trend and of the line at the same cut-offs."""
+    return BR.errors(BR.backtest(_daily(spark, folder), yearly=FC.YEARLY_WAVES))
+
+
 @query
 def fct_previsoes(spark, folder):
     daily = base(spark, folder).groupBy("prioridade_num", F.col("data_abertura").alias("ds")).agg(
