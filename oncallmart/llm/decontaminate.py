@@ -12,7 +12,7 @@ else makes one.
 Candidates are then confirmed: the item's shingles are looked up among the document's, and
 the exact containment decides. Texts are read once. Before rows leave the scan, a Bloom filter
 of all items' shingles drops those in no item; it never drops one that is. Its bits are the
-only thing that goes to every task, 16 a shingle of the items up to 32 MB together; beyond
+only thing that goes to every task, 64 a shingle of the items, half a MB to 32 MB together; beyond
 that it drops less, and results stay the same.
 
 Texts are lower-cased (A-Z) and split at ASCII white space; shingles take five words. An item
@@ -35,7 +35,7 @@ from oncallmart.session import settle
 
 PERCENT = 80
 # Bits of the filter for each shingle of the items, and the least and most in all.
-BLOOM_EACH, BLOOM_LEAST, BLOOM_MOST = 16, 1 << 16, 1 << 28
+BLOOM_EACH, BLOOM_LEAST, BLOOM_MOST = 64, 1 << 22, 1 << 28
 # Below this many shingles an item is looked up under all shingles of a document.
 SHORT = 16
 # Chance that an item meets none of a document's bins.
