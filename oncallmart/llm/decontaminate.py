@@ -53,9 +53,14 @@ def bloom_places(shingles: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
 
 
 def in_bloom(bits: np.ndarray, shingles: np.ndarray) -> np.ndarray:
-    out = np.ones(len(shingles), bool)
-    for place in bloom_places(shingles, 8 * len(bits)):
-        out &= bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
+    """Which shingles the filter may hold; later places are looked up for those that passed."""
+    first = (shingles & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    left = np.flatnonzero(bits[first >> 3] >> (first & 7).astype(np.uint8) & 1)
+    some = np.ones(len(left), bool)
+    for place in bloom_places(shingles[left], 8 * len(bits))[1:]:
+        some &= bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
+    out = np.zeros(len(shingles), bool)
+    out[left[some]] = True
     return out
 
 
@@ -130,7 +135,8 @@ def sketched(shingles: np.ndarray, each: float) -> np.ndarray:
 
 def document_set(text: bytes | None, numbers: W.Remembered, widths: list[int]) -> np.ndarray:
     """Shingles of a text, and its windows of each of the lengths that short items have."""
-    return np.unique(np.concatenate([W.shingles(text, numbers, w) for w in (*widths, W.WIDTH)]))
+    whole = W.shingles(text, numbers)
+    return np.unique(np.concatenate([whole, *(W.shingles(text, numbers, w) for w in widths)])) if widths else whole
 
 
 def _document_shingles(sent, widths: list[int], classes: list[int], percent: int):
