@@ -32,6 +32,7 @@ from oncallmart.session import scratch, settle
 from oncallmart.sources import bronze as B
 from oncallmart.sources import fixtures
 from oncallmart.sources import versions as VS
+from oncallmart.streaming import hourly as HO
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1199,3 +1200,17 @@ def schema_differences(spark, folder):
             )
         )
     return Q.union(parts)
+
+
+@query
+def events_hourly(spark, folder):
+    """Hourly volume of events by type, loaded as a stream: published and still open windows."""
+    # A pattern, since a stream does not start from the path of one file; one batch, so that
+    # the order of the files decides nothing.
+    events = HO.event_stream(spark, f"{folder}/events.parquet*", None)
+    path, state = scratch(spark, "hourly"), scratch(spark, "hourly-state")
+    HO.load_volume(events, path, state).awaitTermination()
+    windows = HO.volume(spark, path).withColumn("open", F.lit(False)).unionByName(
+        HO.open_volume(spark, state).withColumn("open", F.lit(True))
+    )
+    return windows.withColumn("hour", F.col("hour").cast("timestamp_ntz"))

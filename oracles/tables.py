@@ -193,4 +193,8 @@ QUERIES = {
       FROM fct f JOIN (SELECT dim_status_sk, min(status) AS status,
                    min(codigo_fechamento) AS codigo_fechamento, max(entrou_kpi) AS entrou_kpi
                  FROM dim_status GROUP BY 1) d USING (dim_status_sk) GROUP BY 1, 2, 3"""),
+    # A window is open until the newest event is ten minutes past its end.
+    "events_hourly": """SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS volume,
+        date_trunc('hour', ts) + INTERVAL 1 HOUR > (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE AS open
+      FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
 }
