@@ -4,7 +4,7 @@ A rule is a regular expression over host + path together with the literal tokens
 match contains. Tokens are longest runs of a-z, 0-9 in the lower-cased host and path. Their
 counts over all urls say which token of a rule is rarest; the rule is indexed under that one,
 a url fetches the rules of its tokens, and only these run their expression. The longest
-fitting rule wins (ties: the first in string order). A url without a fitting rule gets
+fitting rule wins (ties: the last in string order). A url without a fitting rule gets
 `otherwise`.
 
 A null url or one without `://` has empty host and path and no rule. Repeated and equal urls
