@@ -172,7 +172,7 @@ def train_models(spark: SparkSession, layout: Layout, run_id: str, at: str,
     parts.append(records.record(clusters.quality(grouped), run_id, "clustering", at))
     sinks.write_run(quality.union(parts), out("run_records"))
 
-    sinks.write_output(records.model_dimension(spark), out("dim_modelo"))
+    sinks.write_output(records.model_dimension(daily), out("dim_modelo"))
     filled = records.metrics_fact(
         records.metrics_skeleton(read_silver(spark, layout)),
         spark.read.schema(records.RECORD).parquet(out("run_records")),

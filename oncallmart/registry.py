@@ -33,6 +33,7 @@ from oncallmart.sources import bronze as B
 from oncallmart.sources import fixtures
 from oncallmart.sources import versions as VS
 from oncallmart.streaming import hourly as HO
+from oncallmart.streaming import sla_clock as CK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -956,7 +957,7 @@ def fct_model_metrics(spark, folder):
 
 @query
 def dim_modelo(spark, folder):
-    return REC.model_dimension(spark)
+    return REC.model_dimension(marts.forecast_mart(base(spark, folder)))
 
 
 @query
@@ -1214,3 +1215,12 @@ def events_hourly(spark, folder):
         HO.open_volume(spark, state).withColumn("open", F.lit(True))
     )
     return windows.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
+@query
+def sla_clock(spark, folder):
+    """Tickets whose contract time ran out unresolved, by a stream of openings and resolutions."""
+    records, path, state = (scratch(spark, f"sla-{kind}") for kind in ("records", "alerts", "state"))
+    CK.ticket_records(fixtures.bronze(spark, folder)).write.parquet(records)
+    CK.load_alerts(CK.record_stream(spark, records, None), path, state).awaitTermination()
+    return CK.told(spark, path)

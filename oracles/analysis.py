@@ -609,7 +609,10 @@ add("fct_ola_risk", DIMS + SCORED[len(SILVER):], """SELECT incident_id, label AS
   f.dim_tempo_sk, f.dim_grupo_sk, f.dim_prioridade_sk
 FROM scored JOIN fct f USING (incident_id)""")
 
-add("dim_modelo", BRONZE, """SELECT md5(modelo_tipo) AS dim_modelo_sk, * FROM (VALUES
+add("dim_modelo", BASE, """SELECT md5(modelo_tipo) AS dim_modelo_sk, modelo_tipo, algoritmo, alvo,
+  CASE WHEN modelo_tipo LIKE 'forecast%' THEN days ELSE tickets END AS amostras_disponiveis, desde, ate
+FROM (SELECT count(DISTINCT data_abertura) AS days, count(*) AS tickets,
+    min(data_abertura) AS desde, max(data_abertura) AS ate FROM base), (VALUES
   ('forecast_d1', 'Seasonal regression', 'Volume diário'),
   ('forecast_d7', 'Seasonal regression', 'Volume diário'),
   ('ola_risk', 'Gradient-boosted trees', 'Tempo excedido (0/1)'),
@@ -662,3 +665,10 @@ add("root_children", SILVER, """SELECT root, CAST(depth AS BIGINT) AS depth, cou
     WHERE linked.up IS NOT NULL)
   SELECT n, max(w) AS w, arg_max(up, depth) AS root, max(depth) AS depth FROM walk GROUP BY n)
 GROUP BY 1, 2""")
+add("sla_clock", BRONZE, """SELECT "Numero" AS incident_id, "Aberto" AS opened, deadline, contract_hours FROM (
+  SELECT *, "Aberto" + to_hours(contract_hours) AS deadline FROM (
+    SELECT "Numero", "Aberto", "Resolvido", CAST(CASE substr("Prioridade", 1, 1)
+      WHEN '1' THEN 4 WHEN '2' THEN 4 WHEN '3' THEN 12 WHEN '4' THEN 24 ELSE 96 END AS INT) AS contract_hours
+    FROM bronze))
+WHERE deadline <= (SELECT max(greatest("Aberto", coalesce("Resolvido", "Aberto"))) - INTERVAL 1 HOUR FROM bronze)
+  AND ("Resolvido" IS NULL OR "Resolvido" > deadline)""")
