@@ -30,7 +30,7 @@ from oncallmart.operators import star
 from oncallmart.plans import marts
 from oncallmart.session import scratch, settle
 from oncallmart.sources import bronze as B
-from oncallmart.sources import fixtures
+from oncallmart.sources import fixtures, sinks
 from oncallmart.sources import versions as VS
 from oncallmart.streaming import hourly as HO
 from oncallmart.streaming import sla_clock as CK
@@ -1174,17 +1174,25 @@ def cluster_counts(spark, folder):
 
 @query
 def record_latest(spark, folder):
-    """Latest value of two runs' records of the daily volume."""
-    daily = marts.forecast_mart(base(spark, folder))
-    total = daily.agg(F.sum("total_chamados").cast("double").alias("value"))
-    runs = [
-        REC.record(
-            total.select(F.lit("amostras").alias("metric"), (F.col("value") * k).alias("value")),
+    """Latest records per month: the first run records volumes, the second the violations of
+    even months; it is stored with doubled values first and then again."""
+    mart = marts.forecast_mart(base(spark, folder))
+    monthly = settle(mart.groupBy("ano_mes").agg(
+        F.sum("total_chamados").alias("volume"), F.sum("total_violacoes_sla").alias("violations"),
+    ))
+    even = F.substring("ano_mes", 6, 2).cast("int") % 2 == 0
+
+    def run(rows, value, k):
+        return REC.record(
+            rows.select(F.col("ano_mes").alias("metric"), value.alias("value")),
             f"run-{k}", "forecast_d1", f"2001-08-0{k} 05:00:00",
         )
-        for k in (1, 2)
-    ]
-    return REC.latest(Q.union(runs)).select("model", "name", "value")
+
+    path = scratch(spark, "runs")
+    sinks.write_run(run(monthly, F.col("volume"), 1), path)
+    for times in (2, 1):
+        sinks.write_run(run(monthly.where(even), F.col("violations") * times, 2), path)
+    return REC.latest(spark.read.schema(REC.RECORD).parquet(path)).select("model", "name", "value", "at")
 
 
 @query

@@ -630,8 +630,11 @@ add("iso_forest_counts", BASE, """SELECT count(*) AS tickets, count(*) AS scored
   true AS within_share FROM base""")
 add("cluster_counts", BASE, """SELECT count(*) AS tickets, count(DISTINCT incident_id) AS incidents,
   4::BIGINT AS labels, 0::BIGINT AS unlabelled FROM base""")
-add("record_latest", BASE, """SELECT 'forecast_d1' AS model, 'amostras' AS name,
-  2.0::DOUBLE * count(*) AS value FROM base""")
+add("record_latest", BASE, """SELECT 'forecast_d1' AS model, ano_mes AS name,
+  CAST(CASE WHEN even THEN violations ELSE volume END AS DOUBLE) AS value,
+  CASE WHEN even THEN TIMESTAMP '2001-08-02 05:00:00' ELSE TIMESTAMP '2001-08-01 05:00:00' END AS at
+FROM (SELECT ano_mes, CAST(substr(ano_mes, 6, 2) AS INT) % 2 = 0 AS even, count(*) AS volume,
+    sum(target_risco_sla) AS violations FROM base GROUP BY 1, 2)""")
 add("schema_differences", BRONZE, """SELECT 'bronze' AS source, count(*) AS tickets,
   '' AS missing, '' AS extra FROM bronze
 UNION ALL SELECT 'cut', count(*), 'Status', 'extra' FROM bronze""")
