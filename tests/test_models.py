@@ -204,3 +204,13 @@ def test_latest_record_wins(spark):
     assert records.latest(both).first()["value"] == 0.4
     moved = records.changes(both).where("previous is not null").first()
     assert moved["run_id"] == "r2" and moved["change"] == pytest.approx(-0.2)
+
+
+def test_parts_that_a_fit_keeps_are_bounded(ready, monkeypatch):
+    """Rows of few files, which the fits would cache as a few large parts."""
+    rows = ready.train.coalesce(1)
+    assert risk.spread(rows) is rows
+    width, n = rows.first()["features"].size, rows.count()
+    monkeypatch.setattr(risk, "TASK_CELLS", n * width // 20)
+    parts = risk.spread(rows).rdd.glom().map(len).collect()
+    assert sum(parts) == n and max(parts) <= 2 * n / 20
