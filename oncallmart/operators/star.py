@@ -206,16 +206,12 @@ def star_join(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     compares its measured size with the broadcast threshold at run time and
     otherwise sorts and merges, splitting partitions of a hot key.
     """
-    out = facts
     taken = set(facts.columns)
-    # The dimension of opening times has about as many rows as the fact; it comes last, so
-    # the joins before it move rows without its attributes.
     parts = joinable(dims)
-    ordered = [n for n in parts if n != "dim_abertura"] + ["dim_abertura"]
-    for name in ordered:
-        dim = parts[name]
-        key = f"{name}_sk"
-        renamed = dim.select(
+    renamed = {}
+    for name in [*(n for n in parts if n != "dim_abertura"), "dim_abertura"]:
+        dim, key = parts[name], f"{name}_sk"
+        renamed[name] = dim.select(
             key,
             *[
                 F.col(c).alias(c if c not in taken else f"{name}_{c}")
@@ -223,6 +219,15 @@ def star_join(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
                 if c != key
             ],
         )
-        taken |= set(renamed.columns)
-        out = out.join(renamed, key, "left")
-    return out
+        taken |= set(renamed[name].columns)
+    # Columns in the order in which each join by name puts its key first.
+    names = list(facts.columns)
+    for name, dim in renamed.items():
+        key = f"{name}_sk"
+        names = [key, *(c for c in names if c != key), *(c for c in dim.columns if c != key)]
+    # The dimension of opening times has about as many rows as the fact and comes first: its
+    # join moves both, the rows without the attributes of the others, which are small.
+    out = facts
+    for name in ["dim_abertura", *(n for n in renamed if n != "dim_abertura")]:
+        out = out.join(renamed[name], f"{name}_sk", "left")
+    return out.select(*names)

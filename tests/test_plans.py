@@ -87,3 +87,24 @@ def test_settled_copies_can_be_discarded(spark, tmp_path):
     copy = session.settle(spark.range(3).toDF("x"))
     folder = Path(copy.inputFiles()[0].removeprefix("file://")).parent
     assert folder.exists() and session.discard_settled(spark, before) == 1 and not folder.exists()
+
+
+def test_star_join_meets_the_long_dimension_first(spark, small):
+    """The dimension as long as the fact is joined before the attributes of the others are there
+    to be moved; the columns keep their order."""
+    joined = registry.QUERIES["star_join"](spark, small)
+    names, threshold = joined.columns, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = registry.QUERIES["star_join"](spark, small)
+        rows = {tuple(r) for r in large.collect()}
+        final = large._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    joins = [line for line in final.splitlines() if "Join [dim_" in line]
+    assert len(joins) == 6 and "[dim_abertura_sk" in joins[-1]
+    assert rows == {tuple(r) for r in joined.collect()}
+    assert names[:6] == ["dim_abertura_sk", "dim_tempo_sk", "dim_status_sk", "dim_produto_categoria_sk",
+                         "dim_prioridade_sk", "dim_grupo_sk"]
