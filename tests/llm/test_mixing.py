@@ -158,3 +158,30 @@ def test_a_range_is_counted_by_its_tokens():
         assert M.from_planes(row["c"], M.COUNT_BYTES).tolist() == [total[t] for t, _, _ in rows]
         assert M.from_planes(row["own"], M.COUNT_BYTES).tolist() == [of[t, k] for t, k, _ in rows]
         assert np.frombuffer(row["spelled"], np.float32).tolist() == [tokens.index(t) for t, _, _ in rows]
+
+
+@pytest.mark.parametrize("numbers", [[], [7], [5, 5, 5], [9, 2, 2**48 - 1, 0, 9, 2]])
+def test_ranks_and_distinct_numbers(numbers):
+    x = np.array(numbers, np.uint64)
+    expected = sorted(set(numbers))
+    assert M.distinct(x).tolist() == expected
+    of, many = M.ranks(x)
+    assert many == len(expected) and of.tolist() == [expected.index(n) for n in numbers]
+
+
+def test_pairs_are_not_hashed_into_tables(monkeypatch):
+    """`np.unique` without further results hashes every number, at several times the cost of a sort."""
+    plain, hashed = np.unique, []
+
+    def unique(x, *further, **named):
+        if not further and not named:
+            hashed.append(len(x))
+        return plain(x, *further, **named)
+
+    monkeypatch.setattr(np, "unique", unique)
+    own = M.Numbering(0, np.zeros((M.CLASSES, 256)))
+    own.documents(pyarrow.RecordBatch.from_pydict({"doc_id": [1, 2], "held_out": [False, True], "text": ["a b a b", "b a c"]}))
+    (row,) = list(own.pairs(1))
+    seen = M.from_planes(row.column("seen")[0].as_py(), M.COUNT_BYTES)
+    # Start and a, a and b twice, b and a, b and the end; start and b, a and c, c and the end are only asked for.
+    assert sorted(seen.tolist()) == [0, 0, 0, 1, 1, 1, 2] and not hashed
