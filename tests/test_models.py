@@ -214,3 +214,17 @@ def test_parts_that_a_fit_keeps_are_bounded(ready, monkeypatch):
     monkeypatch.setattr(risk, "TASK_CELLS", n * width // 20)
     parts = risk.spread(rows).rdd.glom().map(len).collect()
     assert sum(parts) == n and max(parts) <= 2 * n / 20
+
+
+def test_tickets_are_stored_before_the_fences_read_them(base, monkeypatch):
+    """The fences must not join the tickets apart from the rows that they are then applied to."""
+    read, fences = [], prep.iqr_fences
+
+    def seen(frame, *columns):
+        read.append(frame.inputFiles())
+        return fences(frame, *columns)
+
+    monkeypatch.setattr(prep, "iqr_fences", seen)
+    mart = marts.cluster_mart(base)
+    clusters.run(mart, restarts=1)
+    assert len(read) == 1 and read[0] and not set(read[0]) & set(mart.inputFiles())
