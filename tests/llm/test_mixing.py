@@ -185,3 +185,64 @@ def test_pairs_are_not_hashed_into_tables(monkeypatch):
     seen = M.from_planes(row.column("seen")[0].as_py(), M.COUNT_BYTES)
     # Start and a, a and b twice, b and a, b and the end; start and b, a and c, c and the end are only asked for.
     assert sorted(seen.tolist()) == [0, 0, 0, 1, 1, 1, 2] and not hashed
+
+
+def test_contexts_cross_the_borders_of_tokens(spark):
+    """Every occurrence in the training texts counts, after the bytes before it, those of other tokens too."""
+    held = next(k for k in range(40) if zlib.crc32(str(k).encode()) % 5 == 1)
+    texts = {k: ["ab cd ab cd", "xb  cd", "AB\ncd", None][k % 4] for k in range(40) if zlib.crc32(str(k).encode()) % 5 != 1}
+    rows = M.pa.RecordBatch.from_pydict(
+        {"doc_id": [*texts, held], "held_out": [False] * len(texts) + [True], "text": [*texts.values(), "zb cq"]}
+    )
+    counts = np.zeros((2, len(M.ORDERS) * M.SLOTS), np.uint32)
+    own = M.Numbering(0, np.zeros((M.CLASSES, 256)))
+    for begin in range(0, len(rows), 7):
+        own.documents(rows.slice(begin, 7))
+    own.count(counts)
+    want = np.zeros_like(counts)
+    for text in texts.values():
+        M.add_counts(want, [*(text or "").lower().encode().split(), b""])
+    assert (counts == want).all()
+    streams = [b" " * M.REACH + b" ".join((t or "").lower().encode().split() + [b""]) + b" " for t in texts.values()]
+    # The first byte after "b " follows it in every text that has words: a "c", whatever "b" ends.
+    flat, _, place, contexts = M.spelling([b"ab", b"cd", b""])
+    at = M.slots_of(contexts[1][3:4], np.array([1], np.uint64)) + M.SLOTS
+    assert (flat[3], place[3]) == (ord("c"), 0)
+    assert counts[0, at[0]] == sum(s.count(b"b c") for s in streams) and counts[1, at[0]] == 0
+
+
+def test_a_token_is_spelled_after_the_token_before_it():
+    """Both tokens are as frequent, but only one follows "left"; the other follows "right"."""
+    counts = np.zeros((2, len(M.ORDERS) * M.SLOTS), np.float32)
+    for _ in range(20):
+        M.add_counts(counts, [b"left", b"mo", b"right", b"ka", b""])
+    texts = [b"left mo ", b"left ka "]
+    runs, of = M.numbered(M.grams(texts))
+    cost = M.coded(runs, counts, M.start_weights(), [], without_own=False)[1][of].reshape(2, -1).sum(axis=1)
+    assert cost[0] > cost[1] + 1
+
+
+def test_runs_count_as_the_bytes_they_stand_for():
+    """Costs of distinct runs, times their occurrences, are those of a walk over every bit of the text."""
+    dice = np.random.default_rng(4)
+    tokens = [bytes(dice.integers(97, 101, n).astype(np.uint8).tolist()) for n in dice.integers(1, 9, 200).tolist()]
+    counts, weights = np.zeros((2, len(M.ORDERS) * M.SLOTS), np.float32), M.start_weights()
+    M.add_counts(counts, tokens[:150])
+    flat, _, place, contexts = M.spelling(tokens)
+    want = np.zeros(len(flat))
+    for k, node, bit in M.bits(flat):
+        x, known = M.inputs(counts, contexts, node, bit, False)
+        odds = (x * weights[place * M.KNOWN * 8 + known * 8 + k].T).sum(axis=0)
+        want -= np.logaddexp(0, np.where(bit == 1, -odds, odds))
+    runs, of = M.numbered(M.grams([b" ".join(tokens) + b" "]))
+    got = M.coded(runs, counts, weights, [], without_own=False)[1][of]
+    assert got == pytest.approx(want, abs=1e-4)
+
+
+def test_large_counts_shrink_alike():
+    counts = np.array([[0, 1, 65535, 1 << 20, 3], [7, 65536, 1, 1, 1 << 40]], np.int64)
+    got = M.narrow(counts)
+    assert got[:, 0].tolist() == [0, 7] and got[:, 2].tolist() == [65535, 1]
+    assert ((got > 0) == (counts > 0)).all() and got[0, 3] / got[1, 3] > 30_000
+    packed = M.Packed(np.resize(got, (2, M.CHUNK)))
+    assert (packed.table() == np.resize(got, (2, M.CHUNK))).all()
