@@ -228,3 +228,23 @@ def test_tickets_are_stored_before_the_fences_read_them(base, monkeypatch):
     mart = marts.cluster_mart(base)
     clusters.run(mart, restarts=1)
     assert len(read) == 1 and read[0] and not set(read[0]) & set(mart.inputFiles())
+
+
+def test_runs_pass_over_blocks_and_cost_the_same(spark, monkeypatch):
+    """Left to choose, Spark measures every row of dense points alone. Both ways end with the same
+    costs, nulls and copies among the rows or not."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.linalg import Vectors
+
+    dice = np.random.default_rng(5)
+    rows = [(f"i{k}", Vectors.dense(dice.normal(k % 3 * 4, 1, 5).tolist())) for k in range(300)]
+    points = spark.createDataFrame([*rows, *rows[:50], (None, rows[0][1])], ["incident_id", "features"])
+    fitted, fit_all = [], clusters._fit_all
+    monkeypatch.setattr(clusters, "_fit_all", lambda runs, frame: fitted.extend(runs) or fit_all(runs, frame))
+    costs = [r["cost"] for r in clusters.sweep(points, range(2, 6)).orderBy("k").collect()]
+    best = clusters.fit_kmeans(points, k=3, restarts=2).summary.trainingCost
+    assert {run.getSolver() for run in fitted} == {"block"} and len(fitted) == 6
+    plain = [KMeans(k=k, maxIter=300, seed=42, solver="row").fit(points).summary.trainingCost for k in range(2, 6)]
+    assert costs == pytest.approx(plain)
+    restarts = [KMeans(k=3, maxIter=300, seed=42 + i, solver="row").fit(points).summary.trainingCost for i in range(2)]
+    assert best == pytest.approx(min(restarts))
